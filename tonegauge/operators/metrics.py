@@ -59,14 +59,14 @@ def class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Precision, recall, F1 and support of every class seen on either side."""
     pairs = pair_counts(df, label, prediction)
     # Each pair counts for its truth and for its prediction: one pass, no outer join.
+    def side(name: str, actual: Column, predicted: Column, tp: Column) -> Column:
+        return F.struct(F.col(name).alias("label"), actual.alias("actual"),
+                        predicted.alias("predicted"), tp.alias("tp"))
+
+    none, n = F.lit(0).cast("bigint"), F.col("n")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(0)
     sides = pairs.select(F.inline(F.array(
-        F.struct(F.col("label").alias("label"), F.col("n").alias("actual"),
-                 F.lit(0).cast("bigint").alias("predicted"),
-                 F.when(F.col("label") == F.col("prediction"), F.col("n"))
-                 .otherwise(0).alias("tp")),
-        F.struct(F.col("prediction"), F.lit(0).cast("bigint"), F.col("n"),
-                 F.lit(0).cast("bigint")),
-    )))
+        side("label", n, none, hit), side("prediction", none, n, none))))
     sums = sides.groupBy("label").agg(
         F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"),
         F.sum("actual").alias("support"))

@@ -99,11 +99,18 @@ def organic(df: DataFrame, fake: str = "fake_engagement_flag") -> DataFrame:
 
 
 def success_thresholds(df: DataFrame, organic_only: bool = True) -> DataFrame:
-    """One row (engagement_p75, toxicity_p40), exact and interpolated."""
+    """One row (engagement_p75, toxicity_p40), exact and interpolated.
+
+    Both measures go through one ordered pass, as two groups of one column.
+    """
     base = organic(df) if organic_only else df
-    high = exact_quantiles(base, "engagement_rate", {"engagement_p75": 0.75})
-    low = exact_quantiles(base, "toxicity_score", {"toxicity_p40": 0.40})
-    return high.crossJoin(F.broadcast(low))  # one row each
+    measures = base.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("measure"), F.col(c).alias("value"))
+        for name, c in (("engagement", "engagement_rate"), ("toxicity", "toxicity_score"))])))
+    levels = exact_quantiles(measures, "value", {"p75": 0.75, "p40": 0.40}, ["measure"])
+    return levels.agg(
+        F.max(F.when(F.col("measure") == "engagement", F.col("p75"))).alias("engagement_p75"),
+        F.max(F.when(F.col("measure") == "toxicity", F.col("p40"))).alias("toxicity_p40"))
 
 
 def flag_authentic_success(

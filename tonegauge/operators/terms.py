@@ -37,27 +37,27 @@ def distinctive_terms(
     counts = [f"y_{i}" for i in range(len(groups))]
     table = (
         toxic.select(group, F.explode(text.terms(F.col(name))).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("a"), *[
+        .groupBy("term").agg(F.count(F.lit(1)).alias("_prior"), *[
             F.count(F.when(F.col(group) == g, 1)).alias(c) for c, g in zip(counts, groups)])
     )
     totals = table.agg(
-        F.sum("a").alias("A"), *[F.sum(c).alias(f"N_{c}") for c in counts])
+        F.sum("_prior").alias("_all"), *[F.sum(c).alias(f"_size_{c}") for c in counts])
     rows = F.array(*[
-        F.struct(F.lit(g).alias(group), F.col(c).alias("y"), F.col(f"N_{c}").alias("N"))
+        F.struct(F.lit(g).alias(group), F.col(c).alias("_y"), F.col(f"_size_{c}").alias("_size"))
         for g, c in zip(groups, counts)
     ])
-    prior, everything = F.col("a").cast("double"), F.col("A").cast("double")
-    y, size = F.col("y").cast("double"), F.col("N").cast("double")
+    prior, everything = F.col("_prior").cast("double"), F.col("_all").cast("double")
+    y, size = F.col("_y").cast("double"), F.col("_size").cast("double")
     here, rest = y + prior, (prior - y) + prior
     here_other = size + everything - here
     rest_other = (everything - size) + everything - rest
     delta = F.log(here / here_other) - F.log(rest / rest_other)
     scored = (
         table.crossJoin(F.broadcast(totals))  # one row
-        .select("term", "a", "A", F.inline(rows))
-        .where((F.col("y") >= min_count) & (here_other > 0) & (rest_other > 0))
+        .select("term", "_prior", "_all", F.inline(rows))
+        .where((F.col("_y") >= min_count) & (here_other > 0) & (rest_other > 0))
         .select(group, "term", F.round(delta / F.sqrt(1 / here + 1 / rest), 3).alias("z"),
-                F.col("y").alias("n"))
+                F.col("_y").alias("n"))
         .where(F.col("z") > 0)
     )
     best = Window.partitionBy(group).orderBy(F.col("z").desc(), F.col("n").desc(), "term")
