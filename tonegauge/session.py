@@ -32,3 +32,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tonegauge-")
     return os.path.join(folder, "tonegauge") if "://" not in folder else f"{folder}/tonegauge"
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go where the session says; only an unset folder is filled in."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
