@@ -57,7 +57,8 @@ def binary_cells(df: DataFrame, label: str, prediction: str, negative: str, posi
 
 def class_scores(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Precision, recall, F1 and support of every class seen on either side."""
-    pairs = pair_counts(df, label, prediction)
+    # classes x classes rows: in one partition the steps below need no further shuffle.
+    pairs = pair_counts(df, label, prediction).coalesce(1)
     # Each pair counts for its truth and for its prediction: one pass, no outer join.
     def side(name: str, actual: Column, predicted: Column, tp: Column) -> Column:
         return F.struct(F.col(name).alias("label"), actual.alias("actual"),

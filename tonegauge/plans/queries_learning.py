@@ -285,7 +285,7 @@ def m22(spark, sf):
 
 def grid_parts(max_features: int = 1000):
     stages = fx.text_stages(max_features=max_features)
-    logistic = mx.ScaledLogistic(maxIter=15)
+    logistic = mx.ScaledLogistic(maxIter=10)
     statement, counts = stages[2], stages[3]
     return mx.pipeline(stages, logistic), logistic.C, statement.statement, counts.vocabSize
 
@@ -306,7 +306,7 @@ def m24(spark, sf):
     estimator, c, statement, size = grid_parts()
     draws = {c: lambda g: mx.log_uniform(g, 1e-2, 1e2), size: [300, 500, 800],
              statement: [fx.gram_statement("_words", n) for n in (1, 2)]}
-    grid = evaluation.random_grid(draws, 4)
+    grid = evaluation.random_grid(draws, 3)
     base = evaluation.cross_validate(estimator, df, "post_id", 2, evaluation.MacroF1())
     search = evaluation.cross_validate(estimator, df, "post_id", 2, evaluation.MacroF1(), grid)
     return evaluation.tuning_impact(
