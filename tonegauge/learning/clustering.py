@@ -228,12 +228,14 @@ def dbscan(
     )
     roots = _minimum_labels(names.select("node"), links)
     rooted = first.join(roots, "node").select("id", "root")
-    # A border point sees core points in its own cell only if those make it core too.
-    border = (
-        near.join(core.where("NOT core").select(F.col("id").alias("a")), "a")
-        .join(rooted.withColumnRenamed("id", "b"), "b")
-        .groupBy("a").agg(F.min("root").alias("root")).withColumnRenamed("a", "id")
+    # A border point may touch core points of other cells and of its own.
+    edge = core.where("NOT core")
+    beyond = (
+        near.join(edge.select(F.col("id").alias("a")), "a")
+        .join(rooted.withColumnRenamed("id", "b"), "b").select(F.col("a").alias("id"), "root")
     )
+    within = edge.join(names.join(roots, "node"), "cell").select("id", "root")
+    border = beyond.unionByName(within).groupBy("id").agg(F.min("root").alias("root"))
     assigned = rooted.unionByName(border)
     by_vector = points.select("id", "x").join(assigned, "id").select("x", "root")
     labelled = rows.join(by_vector, "x", "left").select("id", "root")
