@@ -36,7 +36,7 @@ def matrix(df, column="features"):
 def test_tfidf_by_hand(spark):
     df = spark.createDataFrame([(0, "aa bb aa"), (1, "bb cc")], "post_id int, text_content string")
     model = Pipeline(stages=fx.text_stages(grams=1)).fit(df)
-    vocabulary = model.stages[3].vocabulary
+    vocabulary = model.stages[0].stages[1].vocabulary
     got = matrix(model.transform(df))[0]
     rare = np.log(3 / 2) + 1
     want = {"aa": 2 * rare, "bb": 1.0, "cc": 0.0}
@@ -48,10 +48,10 @@ def test_svd_equals_numpy(spark, texts):
     stages = fx.reduced_text_stages(max_features=50, components=3)
     model = Pipeline(stages=stages).fit(texts)
     out = model.transform(texts)
-    _, sizes, vt = np.linalg.svd(matrix(out, "_tfidf"), full_matrices=False)
+    _, sizes, vt = np.linalg.svd(matrix(out, "tfidf"), full_matrices=False)
     got = matrix(out)
     assert np.allclose(np.linalg.norm(got, axis=0), sizes[:3], atol=1e-8)
-    assert np.allclose(np.abs(got), np.abs(matrix(out, "_tfidf") @ vt[:3].T), atol=1e-8)
+    assert np.allclose(np.abs(got), np.abs(matrix(out, "tfidf") @ vt[:3].T), atol=1e-8)
 
 
 def test_pipeline_saves_and_loads(spark, texts, tmp_path):

@@ -80,15 +80,23 @@ def test_mean_word_length(spark):
 def test_terms_and_tokens(spark):
     df = spark.createDataFrame([("The NIÑO ate a red-hot chilli, at 10",)], "t string")
     row = df.select(text.terms(F.col("t")).alias("terms"), text.tokens(F.col("t")).alias("tokens"),
-                    text.ngrams(text.tokens(F.col("t")), 2).alias("grams")).first()
+                    text.with_pairs(text.tokens(F.col("t"))).alias("grams")).first()
     assert row["terms"] == ["niño", "ate", "red", "hot", "chilli"]
     assert row["tokens"] == ["the", "niño", "ate", "red", "hot", "chilli", "at", "10"]
     assert row["grams"][8:10] == ["the niño", "niño ate"] and len(row["grams"]) == 15
 
 
+def test_tokens_beyond_ascii(spark):
+    sample = "Ünïcode_9 x ab\u0301c Я да 東京 ١٢ a1 \u00b2\u00b3 _"
+    df = spark.createDataFrame([(sample,)], "t string")
+    plain = F.regexp_extract_all(F.lower("t"), F.lit(r"[\p{L}\p{N}_]{2,}"), F.lit(0))
+    row = df.select(text.tokens(F.col("t")).alias("fast"), plain.alias("plain")).first()
+    assert row["fast"] == row["plain"] and "ünïcode_9" in row["fast"] and "東京" in row["fast"]
+
+
 def test_ngrams_of_short_texts(spark):
     df = spark.createDataFrame([("one",), ("",)], "t string")
-    grams = column(df.select(text.ngrams(text.tokens(F.col("t")), 2).alias("g")), "g")
+    grams = column(df.select(text.with_pairs(text.tokens(F.col("t"))).alias("g")), "g")
     assert grams == [["one"], []]
 
 

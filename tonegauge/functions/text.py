@@ -8,8 +8,9 @@ from tonegauge.functions.coerce import flag
 
 WORD = r"(?U)\S+"
 TERM = "[a-záéíóúñü]+"
-# A run of two or more word characters, the default token of TF-IDF.
-TOKEN = r"[\p{L}\p{N}_]{2,}"
+# A run of two or more word characters: ASCII ones, or letters and digits beyond ASCII.
+# Naming ASCII first and never backing out of a run makes it several times faster.
+TOKEN = r"[\w[\p{L}\p{N}&&[^\x00-\x7F]]]{2,}+"
 
 
 def or_empty(col: Column) -> Column:
@@ -60,17 +61,13 @@ def tokens(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(or_empty(col)), F.lit(TOKEN), F.lit(0))
 
 
-def ngrams(words: Column, upto: int = 2) -> Column:
-    """Unigrams followed by the longer grams, each joined by one blank."""
-    grams = [words]
-    for size in range(2, upto + 1):
-        shifted = [F.slice(words, i + 1, F.greatest(F.size(words) - size + 1, F.lit(0)))
-                   for i in range(size)]
-        grams.append(F.transform(
-            F.arrays_zip(*shifted),
-            lambda z: F.concat_ws(" ", *[z.getField(str(i)) for i in range(size)]),
-        ))
-    return F.concat(*grams) if len(grams) > 1 else words
+def with_pairs(words: Column) -> Column:
+    """The words followed by the pairs of neighbours, joined by one blank."""
+    last = F.greatest(F.size(words) - 1, F.lit(0))
+    pairs = F.zip_with(
+        F.slice(words, F.lit(1), last), F.slice(words, F.lit(2), last),
+        lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.concat(words, pairs)
 
 
 def normalise_tweet(col: Column) -> Column:

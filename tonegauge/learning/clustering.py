@@ -139,6 +139,15 @@ def _cells(x: Column, side: float, dims: int) -> list[Column]:
     return [F.floor(x[i] / side).cast("int") for i in range(dims)]
 
 
+def _is_star_forest(links: DataFrame) -> bool:
+    """Does every node hang on one root, and no root on another node?"""
+    ends = links.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent")))))
+    roles = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return roles.where("child > 1 OR (child = 1 AND parent = 1)").isEmpty()
+
+
 def _minimum_labels(nodes: DataFrame, edges: DataFrame, limit: int = 50) -> DataFrame:
     """Smallest node id reachable from each node.
 
@@ -159,9 +168,8 @@ def _minimum_labels(nodes: DataFrame, edges: DataFrame, limit: int = 50) -> Data
         small = hung.select("u", F.col("m").alias("v")).union(
             hung.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")))
         after = small.distinct().checkpoint()
-        changed = after.exceptAll(links).limit(1).count() + links.exceptAll(after).limit(1).count()
         links = after
-        if not changed:
+        if _is_star_forest(links):
             break
     else:
         raise RuntimeError("density clusters did not settle")

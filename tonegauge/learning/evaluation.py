@@ -209,7 +209,8 @@ def class_terms(spark: SparkSession, model: PipelineModel, labels: list[str], n:
 
     Coefficients and vocabulary are model parameters on the driver already.
     """
-    vocabulary = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
+    stages = [part for stage in model.stages for part in getattr(stage, "stages", [stage])]
+    vocabulary = next(s.vocabulary for s in stages if hasattr(s, "vocabulary"))
     linear = model.stages[-1]
     if linear.numClasses == 2:
         weights = linear.coefficients.toArray()

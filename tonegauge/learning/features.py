@@ -4,12 +4,14 @@ What the estimators here learn is small and bounded (a number per column or per
 vocabulary entry); rows never leave the executors.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, OneHotEncoder,
+    CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, OneHotEncoder,
     RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,24 +28,54 @@ from pyspark.sql.types import ArrayType, DoubleType
 from tonegauge.functions.text import TOKEN
 from tonegauge.operators.ordering import exact_quantiles
 from tonegauge.operators.quality import assert_leakage_free
+from tonegauge.operators.terms import corpus_vocabulary
 
 
-class SmoothIdf(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Multiplies counts by ln((1 + n) / (1 + df)) + 1.
+class TextVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """M1: words and word pairs to L2-normalised TF-IDF, idf = ln((1 + n) / (1 + df)) + 1.
 
-    Spark's IDF has no ``+ 1``; the fitted stage is an element-wise product with its
-    weights plus one.
+    One pass finds the vocabulary and its document counts; at most ``maxFeatures``
+    of them reach the driver.  The fitted stages are Spark's own tokenizer, count
+    vectorizer, element-wise product and normalizer.  English stop words are Spark's.
     """
 
+    maxFeatures = Param(Params._dummy(), "maxFeatures", "vocabulary size", TypeConverters.toInt)
+    grams = Param(Params._dummy(), "grams", "1 for words, 2 for words and pairs", TypeConverters.toInt)
+    minDf = Param(Params._dummy(), "minDf", "documents a term must be in", TypeConverters.toInt)
+    stopwords = Param(Params._dummy(), "stopwords", "drop English stop words", TypeConverters.toBoolean)
+
     @keyword_only
-    def __init__(self, inputCol=None, outputCol=None):
+    def __init__(self, inputCol=None, outputCol=None, maxFeatures=5000, grams=2, minDf=1, stopwords=False):
         super().__init__()
+        self._setDefault(maxFeatures=5000, grams=2, minDf=1, stopwords=False)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset):
-        counts, out = self.getInputCol(), self.getOutputCol()
-        idf = IDF(inputCol=counts, outputCol=out).fit(dataset.select(counts)).idf.toArray()
-        return ElementwiseProduct(scalingVec=Vectors.dense(idf + 1.0), inputCol=counts, outputCol=out)
+        name, out = self.getInputCol(), self.getOutputCol()
+        grams = self.getOrDefault(self.grams)
+        stop = StopWordsRemover.loadDefaultStopWords("english") if self.getOrDefault(self.stopwords) else None
+        found = corpus_vocabulary(
+            dataset, name, grams, self.getOrDefault(self.maxFeatures), self.getOrDefault(self.minDf), stop,
+        ).collect()
+        n = dataset.count()
+        words, listed, counted, weighted = (f"_{out}_{part}" for part in ("words", "grams", "counts", "weights"))
+        stages = [RegexTokenizer(
+            inputCol=name, outputCol=words, gaps=False, pattern=TOKEN, toLowercase=True)]
+        if stop:
+            stages.append(StopWordsRemover(inputCol=words, outputCol=words + "_kept", stopWords=stop))
+            words += "_kept"
+        if grams == 2:
+            pairs = f"_{out}_pairs"
+            stages += [NGram(n=2, inputCol=words, outputCol=pairs), SQLTransformer(
+                statement=f"SELECT *, concat({words}, {pairs}) AS {listed} FROM __THIS__")]
+            words = listed
+        idf = [math.log((1 + n) / (1 + r["df"])) + 1 for r in found]
+        stages += [
+            CountVectorizerModel.from_vocabulary([r["term"] for r in found], words, counted),
+            ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=counted, outputCol=weighted),
+            Normalizer(inputCol=weighted, outputCol=out, p=2.0),
+        ]
+        return PipelineModel(stages=stages)
 
 
 class FillAndScale(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -163,41 +195,20 @@ class TruncatedSvdModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return dataset.withColumn(self.getOutputCol(), array_to_vector(project(arrays)))
 
 
-def gram_statement(words: str, grams: int) -> str:
-    """Statement of the n-gram stage; a tuning grid may replace it."""
-    both = f"concat({words}, _pairs)" if grams == 2 else words
-    return f"SELECT *, {both} AS _grams FROM __THIS__"
-
-
 def text_stages(
     text: str = "text_content", out: str = "features", max_features: int = 5000,
     grams: int = 2, min_df: int = 1, stopwords: bool = False,
 ) -> list:
-    """M1: words and word pairs to L2-normalised TF-IDF.
-
-    The English stop words are Spark's own list.
-    """
-    words = "_words"
-    stages = [RegexTokenizer(
-        inputCol=text, outputCol=words, gaps=False, pattern=TOKEN, toLowercase=True)]
-    if stopwords:
-        stages.append(StopWordsRemover(inputCol=words, outputCol="_kept"))
-        words = "_kept"
-    return stages + [
-        NGram(n=2, inputCol=words, outputCol="_pairs"),
-        SQLTransformer(statement=gram_statement(words, grams)),
-        CountVectorizer(inputCol="_grams", outputCol="_counts", vocabSize=max_features, minDF=min_df),
-        SmoothIdf(inputCol="_counts", outputCol="_weights"),
-        Normalizer(inputCol="_weights", outputCol=out, p=2.0),
-    ]
+    return [TextVectorizer(inputCol=text, outputCol=out, maxFeatures=max_features, grams=grams,
+                           minDf=min_df, stopwords=stopwords)]
 
 
 def reduced_text_stages(
     text: str = "text_content", out: str = "features", max_features: int = 3000, components: int = 50,
 ) -> list:
     """M2: TF-IDF without stop words, reduced by truncated SVD."""
-    return text_stages(text, "_tfidf", max_features, 2, 1, True) + [
-        TruncatedSvd(inputCol="_tfidf", outputCol=out, k=components)]
+    return text_stages(text, "tfidf", max_features, 2, 1, True) + [
+        TruncatedSvd(inputCol="tfidf", outputCol=out, k=components)]
 
 
 def context_stages(names: list[str], out: str = "features") -> list:
@@ -221,21 +232,21 @@ def mixed_stages(
     indexed = [f"{c}_index" for c in categories]
     onehot = [f"{c}_onehot" for c in categories]
     return [
-        *text_stages(text, "_text", max_features, grams, min_df, True),
+        *text_stages(text, "text_vector", max_features, grams, min_df, True),
         FillMostFrequent(inputCols=categories),
         # 'keep' puts unknown values in an extra last category, which dropLast removes.
         StringIndexer(inputCols=filled, outputCols=indexed, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=indexed, outputCols=onehot, dropLast=True),
         FillAndScale(inputCols=numbers, fill="median"),
-        VectorAssembler(inputCols=["_text", *onehot, *[f"{c}_scaled" for c in numbers]], outputCol=out),
+        VectorAssembler(inputCols=["text_vector", *onehot, *[f"{c}_scaled" for c in numbers]], outputCol=out),
     ]
 
 
 def text_with_manual_stages(text: str, manual: list[str], out: str = "features", max_features: int = 5000) -> list:
     """TF-IDF and scaled hand-made features side by side."""
     return [
-        *text_stages(text, "_text", max_features),
+        *text_stages(text, "text_vector", max_features),
         FillAndScale(inputCols=manual, fill="zero"),
-        VectorAssembler(inputCols=["_text", *[f"{c}_scaled" for c in manual]], outputCol=out),
+        VectorAssembler(inputCols=["text_vector", *[f"{c}_scaled" for c in manual]], outputCol=out),
     ]

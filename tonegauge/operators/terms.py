@@ -1,6 +1,6 @@
 """Term counts, distinctive terms, keyword effects and relational TF-IDF."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonegauge.constants import TERM_STOPWORDS, TOXIC_THRESHOLD, TOXICITY_KEYWORDS
@@ -102,18 +102,35 @@ def keyword_effect(
     )
 
 
-def term_frequencies(
-    df: DataFrame, key: str, name: str, grams: int = 1, stopwords: list[str] | None = None
-) -> DataFrame:
-    """Occurrences of each word or word pair per document."""
+def _with_grams(df: DataFrame, keep: list[str], name: str, grams: int, stopwords: list[str] | None) -> DataFrame:
+    """Words are found once per text, also where pairs are built from them."""
     words = text.tokens(F.col(name))
     if stopwords:
         words = F.filter(words, lambda w: ~w.isin(stopwords))
-    listed = df.select(key, words.alias("_words"))
-    return (
-        listed.select(key, F.explode(text.ngrams(F.col("_words"), grams)).alias("term"))
-        .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    )
+    listed = df.select(*keep, words.alias("_words"))
+    found = text.with_pairs(F.col("_words")) if grams == 2 else F.col("_words")
+    return listed.select(*keep, found.alias("_grams"))
+
+
+def corpus_vocabulary(
+    df: DataFrame, name: str, grams: int = 1, max_features: int | None = 5000,
+    min_df: int = 1, stopwords: list[str] | None = None,
+) -> DataFrame:
+    """Terms with total count and number of documents, the most frequent first.
+
+    A document lists its terms and, once each, its distinct terms, so both counts
+    combine on the map side and only the vocabulary is shuffled, not the texts.
+    """
+    def counted(listing: Column, total: int, documents: int) -> Column:
+        return F.transform(listing, lambda t: F.struct(
+            t.alias("term"), F.lit(total).alias("total"), F.lit(documents).alias("df")))
+
+    listed = _with_grams(df, [], name, grams, stopwords)
+    rows = listed.select(F.inline(F.concat(
+        counted(F.col("_grams"), 1, 0), counted(F.array_distinct("_grams"), 0, 1))))
+    terms = rows.groupBy("term").agg(
+        F.sum("total").alias("total"), F.sum("df").alias("df")).where(F.col("df") >= min_df)
+    return terms.orderBy(F.col("total").desc(), "term").limit(max_features) if max_features else terms
 
 
 def tfidf(
@@ -122,23 +139,23 @@ def tfidf(
 ) -> DataFrame:
     """M1, relational: smoothed idf plus one, L2 norm 1 per document.
 
-    The vocabulary keeps the most frequent terms (ties by name); it has at most
-    ``max_features`` rows and is broadcast for that reason.
+    The vocabulary keeps the most frequent terms (ties by name).  It has at most
+    ``max_features`` rows, so it is broadcast and drops all other terms before the
+    counts per document are shuffled; an unlimited vocabulary is joined by shuffle.
     """
-    tf = term_frequencies(df, key, name, grams, stopwords)
+    vocabulary = corpus_vocabulary(df, name, grams, max_features, min_df, stopwords)
     size = df.agg(F.count(F.lit(1)).alias("_docs"))
-    terms = tf.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
+    idf = vocabulary.crossJoin(F.broadcast(size)).select(  # one row
+        "term", (F.log((1 + F.col("_docs")) / (1 + F.col("df"))) + 1).alias("_idf"))
+    tokens = _with_grams(df, [key], name, grams, stopwords).select(key, F.explode("_grams").alias("term"))
+    counts = F.count(F.lit(1)).alias("tf")
     if max_features:
-        terms = F.broadcast(terms.orderBy(F.col("total").desc(), "term").limit(max_features))
-    idf = F.log((1 + F.col("_docs")) / (1 + F.col("df"))) + 1
-    weights = (
-        tf.join(terms, "term").crossJoin(F.broadcast(size))  # one row
-        .select(key, "term", "tf", (F.col("tf") * idf).alias("_w"))
-    )
-    norms = weights.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return weights.join(norms, key).select(
-        key, "term", "tf", (F.col("_w") / F.col("_norm")).alias("weight"))
+        tf = tokens.join(F.broadcast(idf), "term").groupBy(key, "term", "_idf").agg(counts)
+    else:
+        tf = tokens.groupBy(key, "term").agg(counts).join(idf, "term")
+    weight = F.col("tf") * F.col("_idf")
+    norm = F.sqrt(F.sum(weight * weight).over(Window.partitionBy(key)))  # the terms of one text
+    return tf.select(key, "term", "tf", (weight / norm).alias("weight"))
 
 
 def top_terms(weights: DataFrame, group: str, by: str = "weight", top: int = 8) -> DataFrame:

@@ -16,6 +16,8 @@ def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "16
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small local files still give every core a split.
+        .config("spark.sql.files.openCostInBytes", str(512 * 1024))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
