@@ -7,11 +7,13 @@ from tonegauge.operators import (
     correlation, describe, metrics, ordering, posts, ranktests, sampling, terms, timing,
 )
 from tonegauge.plans import views
-from tonegauge.plans.queries_posts import ALL_LIMITS, sql_list
+from tonegauge.plans.queries_posts import ALL_LIMITS, fresh_folder, sql_list
 from tonegauge.plans.registry import query
 from tonegauge.plans.views import (
     COMMENTS, PLATFORMS, POSTS, SCORED, TEXT_POSTS, with_views,
 )
+from tonegauge.schemas import columns
+from tonegauge.sources import files, sinks
 
 
 def organic_posts(spark, sf):
@@ -586,6 +588,14 @@ def o5(spark, sf):
     return metrics.best_model(table, "f1")
 
 
+@query("s17_model_table_export", with_views(SCORED) + """
+SELECT platform AS model, round(avg(score), 4) AS f1 FROM scored GROUP BY 1""")
+def s17(spark, sf):
+    path = fresh_folder(spark, "s17")
+    sinks.write_csv(o5(spark, sf), path)
+    return files.read_csv(spark, path, columns("model string, f1 double"))
+
+
 PLACED = """
 placed AS (
   SELECT event_id, event_type, row_number() OVER (

@@ -19,16 +19,17 @@ PNG_SIGNATURE = bytes([0x89]) + b"PNG"
 
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_POSTS,
-    label: str | None = None,
+    label: str | None = None, line_breaks: bool = True,
 ) -> DataFrame:
     """Header, quotes doubled inside quotes, line breaks inside quotes.
 
-    Files with multi-line fields cannot be split, so large sources are expected as
-    many files.  Malformed numbers and dates become NULL instead of failing.
+    Files with line breaks in their fields cannot be split, so such sources should
+    come as many files; ``line_breaks=False`` lets Spark split files without them.
+    Malformed numbers and dates become NULL instead of failing.
     """
     try:
         df = (
-            spark.read.schema(schema).option("header", True).option("multiLine", True)
+            spark.read.schema(schema).option("header", True).option("multiLine", line_breaks)
             .option("escape", '"').option("mode", "PERMISSIVE").csv(path)
         )
     except AnalysisException as error:
