@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tonegauge.llm import decontamination, packing, pii, quality
-from tonegauge.llm.common import table
+from tonegauge.llm import decontamination, huffman, packing, pii, quality, warc
+from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
 
 _WORDS = ("list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
@@ -46,6 +46,13 @@ def op2(spark, sf):
         "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+@query("op5_token_files")
+def op5(spark, sf):
+    path = scratch(spark, "token-files")
+    huffman.write_tokens(table(spark, sf, "documents"), path)
+    return huffman.read_tokens(spark, path)
+
+
 @query("op6_pii")
 def op6(spark, sf):
     docs = table(spark, sf, "documents")
@@ -61,3 +68,17 @@ def op6(spark, sf):
 @query("op7_packing")
 def op7(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
+
+
+OP10_SQL = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+kept AS (SELECT body, max(page_id) AS winner, count(*) AS n FROM page WHERE strlen(body) >= 1000 GROUP BY body)
+SELECT page_id, strlen(p.body)::BIGINT AS payload_bytes, sha1(p.body) AS payload_digest,
+  CASE WHEN n > 1 AND page_id <> winner THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n > 1 AND page_id <> winner THEN winner END AS refers_to
+FROM page p LEFT JOIN kept k ON p.body = k.body"""
+
+
+@query("op10_warc", OP10_SQL)
+def op10(spark, sf):
+    return warc.archive_pages(table(spark, sf, "pages"))
