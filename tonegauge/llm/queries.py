@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tonegauge.llm import decontamination, huffman, packing, pii, quality, warc
+from tonegauge.llm import decontamination, huffman, language_model, packing, pii, quality, warc
 from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
 
@@ -46,6 +46,11 @@ def op2(spark, sf):
         "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+@query("op3_lm_scoring")
+def op3(spark, sf):
+    return language_model.score(table(spark, sf, "documents"))
+
+
 @query("op5_token_files")
 def op5(spark, sf):
     path = scratch(spark, "token-files")
