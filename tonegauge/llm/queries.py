@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tonegauge.llm import decontamination, huffman, language_model, packing, pii, quality, warc
+from tonegauge.llm import decontamination, huffman, language_model, ngram_join, packing, pii, quality, warc
 from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
 
@@ -75,6 +75,28 @@ def op7(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
 
 
+OP9_SQL = """
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+shingle AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5
+  THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM doc),
+size AS (SELECT doc_id, count(s) AS n FROM shingle GROUP BY doc_id),
+pair AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM shingle x JOIN shingle y
+  ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+edge AS (SELECT a, b FROM pair JOIN size m ON a = m.doc_id JOIN size n ON b = n.doc_id
+  WHERE 100 * shared >= 75 * (m.n + n.n - shared)),
+reach(a, b) AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id"""
+
+
+@query("op9_ngram_jaccard", OP9_SQL)
+def op9(spark, sf):
+    return ngram_join.link(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 OP10_SQL = """
 WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 kept AS (SELECT body, max(page_id) AS winner, count(*) AS n FROM page WHERE strlen(body) >= 1000 GROUP BY body)
