@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tonegauge.llm import decontamination, huffman, language_model, ngram_join, packing, pii, quality, warc
+from tonegauge.llm import (
+    decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality, toxicity, warc,
+)
 from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
 
@@ -51,6 +53,11 @@ def op3(spark, sf):
     return language_model.score(table(spark, sf, "documents"))
 
 
+@query("op4_substring_dedup")
+def op4(spark, sf):
+    return passages.repeated_passages(table(spark, sf, "documents"))
+
+
 @query("op5_token_files")
 def op5(spark, sf):
     path = scratch(spark, "token-files")
@@ -75,6 +82,12 @@ def op7(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"))
 
 
+@query("op8_toxicity")
+def op8(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
 OP9_SQL = """
 WITH RECURSIVE doc AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
