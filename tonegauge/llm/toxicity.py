@@ -1,8 +1,8 @@
 """Severity of toxic language: cumulative-link ordinal regression on sparse text features.
 
 P(grade <= k | x) = sigmoid(cut_k - w x): one weight vector for all thresholds, which are
-kept in order. The label table says toxic or not; among toxic training texts the share of
-words that mark toxicity cuts three grades of severity, so grades are 0 to 3.
+kept in order. The label table says toxic or not; among toxic training texts the number of
+features that mark toxicity cuts three grades of severity, so grades are 0 to 3.
 """
 
 from dataclasses import dataclass
@@ -18,16 +18,29 @@ from tonegauge.llm.common import byte_words
 #: Labelled rows the model is fitted on, of each label at most; the smallest hashes of doc_id.
 SAMPLE = 5_000
 GRADES = 3
-STEM = 5
+STEMS = (4, 5, 6, 8)
+SHARES = (0.05, 0.1, 0.2, 0.4)
 LEAST_TEXTS, LEAST_Z = 3, 5.0
-ROUNDS, RATE, RIDGE = 300, 0.1, 1e-3
+ROUNDS, RATE, RIDGE = 400, 0.1, 1e-5
 STRIP = b".,;:!?\"'()[]"
 
 
-def text_features(word: bytes) -> tuple[int, int]:
-    """Hashes of a word without its punctuation and of its first letters."""
+def word_features(word: bytes) -> list[int]:
+    """Hashes of a lower-cased word without its punctuation and of its beginnings."""
     core = word.strip(STRIP)
-    return xxhash.xxh3_64_intdigest(core) >> 1, xxhash.xxh3_64_intdigest(core[:STEM] + b"*") >> 1
+    return [xxhash.xxh3_64_intdigest(core) >> 1,
+            *(xxhash.xxh3_64_intdigest(core[:n] + b"*") >> 1 for n in STEMS if len(core) > n)]
+
+
+def manner_features(text: str | None) -> list[int]:
+    """Hashes that say how much of a text is shouted: words in capitals, words with several marks."""
+    words = (text or "").split()
+    if not words:
+        return []
+    loud = sum(len(w) > 1 and w.isupper() for w in words) / len(words)
+    marked = sum(w.endswith(("!!", "?!", "!?")) for w in words) / len(words)
+    return [xxhash.xxh3_64_intdigest(f" {name} {step}".encode()) >> 1
+            for name, share in (("capitals", loud), ("marks", marked)) for step in SHARES if share >= step]
 
 
 @dataclass(frozen=True)
@@ -83,23 +96,22 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, width: int, top: int
     return w, np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
 
 
-def grade_texts(texts: list[np.ndarray], repeats: list[np.ndarray], toxic: np.ndarray, names: dict[int, int]) -> np.ndarray:
-    """0 for texts that aren't toxic; 1 to GRADES by the share of toxic marks in toxic ones.
+def grade_texts(texts: list[np.ndarray], toxic: np.ndarray, names: dict[int, int]) -> np.ndarray:
+    """0 for texts that aren't toxic; 1 to GRADES by the number of toxic marks in toxic ones.
 
     Marks are chosen features that stand in toxic texts at least nine times in ten.
     """
     seen, bad = np.zeros(len(names)), np.zeros(len(names))
-    for t, y in zip(texts, toxic):
-        at = [names[f] for f in t.tolist() if f in names]
+    index = [np.array([names[f] for f in t.tolist() if f in names], np.int64) for t in texts]
+    for at, y in zip(index, toxic):
         seen[at] += 1
         bad[at] += y
     marks = bad >= 0.9 * np.maximum(seen, 1)
-    share = np.array([sum(n for f, n in zip(t.tolist(), r.tolist()) if f in names and marks[names[f]]) / max(1, r.sum())
-                      for t, r in zip(texts, repeats)])
+    n = np.array([marks[at].sum() for at in index])
     grades = np.zeros(len(texts), np.int64)
     if toxic.any():
-        edges = np.quantile(share[toxic > 0], [i / GRADES for i in range(1, GRADES)])
-        grades[toxic > 0] = 1 + np.searchsorted(edges, share[toxic > 0], "right")
+        edges = np.quantile(n[toxic > 0], [i / GRADES for i in range(1, GRADES)])
+        grades[toxic > 0] = 1 + np.searchsorted(edges, n[toxic > 0], "right")
     return grades
 
 
@@ -126,24 +138,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str =
         for batch in batches:
             found = []
             for body in batch.column("text").to_pylist():
-                hashes = [h for w in byte_words(body, lower=True) for h in text_features(w)]
-                found.append(np.unique(np.array(hashes, np.int64), return_counts=True))
+                hashes = [h for w in byte_words(body, lower=True) for h in word_features(w)]
+                hashes += manner_features(body)
+                found.append(np.unique(np.array(hashes, np.int64)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array([f.tobytes() for f, _ in found], pa.binary()),
-                 pa.array([n.astype("<i4").tobytes() for _, n in found], pa.binary())], names=["toxic", "f", "n"])
+                [batch.column("toxic"), pa.array(found, pa.binary())], names=["toxic", "f"])
 
     def learn(group):
         group = group.sort_by([("f", "ascending"), ("toxic", "ascending")])  # the same sums wherever rows come from
         toxic = group.column("toxic").to_numpy()
         texts = [np.frombuffer(b, np.int64) for b in group.column("f").to_pylist()]
-        repeats = [np.frombuffer(b, "<i4") for b in group.column("n").to_pylist()]
         names = chosen_features(texts, toxic)
-        grades = grade_texts(texts, repeats, toxic, names)
+        grades = grade_texts(texts, toxic, names)
         index = [np.array([names[f] for f in t.tolist() if f in names], np.int64) for t in texts]
         w, cuts = fit_ordinal(index, grades, len(names))
         return pa.table({"key": pa.array([*names, *[-1] * GRADES], pa.int64()), "value": pa.array([*w, *cuts])})
 
-    learned = (rows.select("toxic", "text").mapInArrow(vectors, "toxic int, f binary, n binary")
+    learned = (rows.select("toxic", "text").mapInArrow(vectors, "toxic int, f binary")
                .groupBy(F.lit(0).alias("all")).applyInArrow(learn, "key long, value double").collect())
     cuts = tuple(sorted(r["value"] for r in learned if r["key"] < 0)) or (50.0, 51.0, 52.0)
     return SeverityModel({r["key"]: r["value"] for r in learned if r["key"] >= 0}, cuts)
@@ -161,13 +172,13 @@ def score(docs: DataFrame, model: SeverityModel, doc_id: str = "doc_id", text: s
         for batch in batches:
             scores = []
             for body in batch.column("text").to_pylist():
-                present = set()
+                present = {h for h in manner_features(body) if h in weights}
                 for word in set(byte_words(body, lower=True)):
                     got = known.get(word)
                     if got is None:
                         if len(known) > 500_000:
                             known.clear()
-                        got = known[word] = tuple(h for h in text_features(word) if h in weights)
+                        got = known[word] = tuple(h for h in word_features(word) if h in weights)
                     present.update(got)
                 scores.append(sum(weights[h] for h in sorted(present)))
             above = 1 / (1 + np.exp(np.clip(cuts[None] - np.array(scores).reshape(-1, 1), -500, 500)))
