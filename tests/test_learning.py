@@ -150,14 +150,23 @@ def test_density_clusters_equal_brute_force(spark, seed, dims, eps, need):
     assert [r["cluster"] for r in got] == brute_dbscan(np.array(points), eps, need)
 
 
+def test_density_candidates_are_few(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 64)) * np.linspace(4, 0.1, 64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, x array<double>")
+    points = df.select("id", "x", F.lit(1).alias("w"), F.col("id").cast("string").alias("cell"))
+    pairs = clustering.near_candidates(clustering._measured(points, 16, 1.5), 1.5).count()
+    assert pairs < 0.1 * 400 * 399 / 2
+
+
 def test_silhouette_of_noise_and_single_cluster(spark):
     df = spark.createDataFrame(
         [(1, 0, [0.0, 0.0]), (2, 0, [0.0, 1.0]), (3, 1, [5.0, 0.0]), (4, -1, [9.0, 9.0])],
         "id int, c int, features array<double>")
-    row = clustering.silhouette(df, "id", "c").first()
-    a = [(5 - 1) / 5, (np.sqrt(26) - 1) / np.sqrt(26), 0.0]
+    row = clustering.silhouette(df, "c").first()
+    a = [(25 - 1) / 25, (26 - 1) / 26, 0.0]
     assert row["n_clusters"] == 2 and row["silhouette"] == round(sum(a) / 3, 4)
-    assert clustering.silhouette(df.where("c <= 0"), "id", "c").first()["silhouette"] is None
+    assert clustering.silhouette(df.where("c <= 0"), "c").first()["silhouette"] is None
 
 
 def test_best_of_seeds_is_not_worse(spark):

@@ -1,12 +1,8 @@
 """Topic and context clusters: k-means, bisecting k-means, density clusters, PCA, silhouette."""
 
-from itertools import product
 from math import sqrt
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -16,7 +12,6 @@ from pyspark.sql import functions as F
 from tonegauge.constants import SEED
 from tonegauge.operators.metrics import cluster_agreement
 from tonegauge.operators.ordering import dense_index
-from tonegauge.operators.sampling import sample_rows
 from tonegauge.session import ensure_checkpoints
 
 
@@ -36,25 +31,18 @@ def bisecting(df: DataFrame, k: int, features: str = "features"):
 
 def sweep_k(
     spark: SparkSession, df: DataFrame, key: str, ks: list[int], features: str = "features",
-    starts: int = 10, sample: int = 2000,
+    starts: int = 10,
 ) -> DataFrame:
-    """Silhouette and inertia per k, best silhouette first.
-
-    ``silhouette`` is the Euclidean one on a repeatable sample, ``silhouette_all`` is
-    Spark's squared-Euclidean one over all rows.
-    """
+    """Silhouette and inertia per k over all rows, best silhouette first."""
     df = df.persist()
-    evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
     rows = []
     for k in ks:
         model = best_kmeans(df, k, features, starts)
-        members = model.transform(df)
-        value = silhouette(members, key, "cluster", features, sample).first()["silhouette"]
-        rows.append((k, value, round(evaluator.evaluate(members), 4), float(model.summary.trainingCost)))
+        value = silhouette(model.transform(df), "cluster", features).first()["silhouette"]
+        rows.append((k, value, float(model.summary.trainingCost)))
     df.unpersist()
-    return spark.createDataFrame(
-        rows, "k int, silhouette double, silhouette_all double, inertia double",
-    ).orderBy(F.col("silhouette").desc_nulls_last(), "k")
+    return spark.createDataFrame(rows, "k int, silhouette double, inertia double").orderBy(
+        F.col("silhouette").desc_nulls_last(), "k")
 
 
 def as_array(df: DataFrame, features: str) -> Column:
@@ -65,55 +53,52 @@ def as_array(df: DataFrame, features: str) -> Column:
 
 
 def silhouette(
-    df: DataFrame, key: str, cluster: str, features: str = "features",
-    sample: int = 3000, noise: int = -1, digits: int = 4,
+    df: DataFrame, cluster: str, features: str = "features", noise: int = -1, digits: int = 4,
 ) -> DataFrame:
-    """Mean Euclidean silhouette of a repeatable sample, noise left out.
+    """Mean silhouette of all rows by squared Euclidean distance, noise left out; one row.
 
-    The sample is the feature: ``sample`` rows at most are gathered and sent to the
-    tasks that score those same rows, so the work is sample x sample distances.
+    The mean squared distance of a point to a cluster follows from the cluster's size,
+    vector sum and sum of squared norms, so no pair is formed: the work is rows times
+    clusters.  Null for fewer than two clusters or where every cluster is one row.
     """
-    spark = df.sparkSession
     points = df.where(F.col(cluster) != noise).select(
-        key, F.col(cluster).cast("int").alias("c"), as_array(df, features).alias("x"))
-    chosen = sample_rows(points, key, sample)
-    rows = chosen.collect()  # at most ``sample`` rows
-    names = sorted({r["c"] for r in rows})
-    if len(names) < 2 or len(rows) <= len(names):
-        return spark.createDataFrame(
-            [(len(names), len(rows), None)], "n_clusters int, n_sample int, silhouette double")
-    everyone = np.array([r["x"] for r in rows])
-    member = np.array([[r["c"] == n for n in names] for r in rows], dtype=float)
-    sizes = member.sum(axis=0)
-
-    @F.pandas_udf("double")
-    def width(x: pd.Series, c: pd.Series) -> pd.Series:
-        if not len(x):
-            return pd.Series(dtype=float)
-        own = np.searchsorted(names, c.to_numpy())
-        sums = np.empty((len(x), len(names)))
-        for i, point in enumerate(x):
-            sums[i] = np.sqrt(((everyone - np.asarray(point)) ** 2).sum(axis=1)) @ member
-        line = np.arange(len(x))
-        inside = sums[line, own] / np.maximum(sizes[own] - 1, 1)
-        outside = sums / sizes
-        outside[line, own] = np.inf
-        nearest = outside.min(axis=1)
-        scale = np.maximum(inside, nearest)
-        value = np.where((sizes[own] > 1) & (scale > 0), (nearest - inside) / np.where(scale > 0, scale, 1), 0.0)
-        return pd.Series(value)
-
-    table = spark.createDataFrame(
-        [(r["c"], [float(v) for v in r["x"]]) for r in rows], "c int, x array<double>")
-    return table.agg(
-        F.lit(len(names)).alias("n_clusters"), F.count(F.lit(1)).cast("int").alias("n_sample"),
-        F.round(F.avg(width("x", "c")), digits).alias("silhouette"))
-
-
-def evaluate_clusters(df: DataFrame, key: str, cluster: str, label: str, features: str = "features", sample: int = 3000) -> DataFrame:
+        F.col(cluster).alias("c"), as_array(df, features).alias("x"))
+    square = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
+    points = points.withColumn("xx", square)
+    sizes = points.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum("xx").alias("q"))
+    sums = (
+        points.select("c", F.posexplode("x").alias("i", "v")).groupBy("c", "i").agg(F.sum("v").alias("v"))
+        .groupBy("c").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda e: e["v"]).alias("s"))
+    )
+    # One row with an entry per cluster.
+    table = sizes.join(sums, "c").agg(F.collect_list(F.struct("c", "n", "q", "s")).alias("clusters"))
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+
+    def distance(entry: Column) -> Column:
+        total = entry["n"] * F.col("xx") + entry["q"] - 2 * dot(F.col("x"), entry["s"])
+        return F.greatest(total, F.lit(0.0))
+
+    own = F.filter("clusters", lambda e: e["c"] == F.col("c"))[0]
+    others = F.filter("clusters", lambda e: e["c"] != F.col("c"))
+    scored = points.crossJoin(F.broadcast(table)).select(  # one row
+        F.size("clusters").alias("n_clusters"), own["n"].alias("n"),
+        F.when(own["n"] > 1, distance(own) / (own["n"] - 1)).alias("inside"),
+        F.array_min(F.transform(others, lambda e: distance(e) / e["n"])).alias("nearest"))
+    scale = F.greatest("inside", "nearest")
+    width = F.when((F.col("n") > 1) & (scale > 0), (F.col("nearest") - F.col("inside")) / scale).otherwise(0.0)
+    means = scored.agg(
+        F.coalesce(F.max("n_clusters"), F.lit(0)).alias("n_clusters"), F.count(F.lit(1)).alias("n_points"),
+        F.round(F.avg(width), digits).alias("silhouette"))
+    enough = (F.col("n_clusters") > 1) & (F.col("n_points") > F.col("n_clusters"))
+    return means.withColumn("silhouette", F.when(enough, F.col("silhouette")))
+
+
+def evaluate_clusters(df: DataFrame, cluster: str, label: str, features: str = "features") -> DataFrame:
     """Number of clusters, silhouette, ARI and NMI in one row."""
     outer = cluster_agreement(df, cluster, label).select("ari", "nmi")
-    inner = silhouette(df, key, cluster, features, sample).select("n_clusters", "silhouette")
+    inner = silhouette(df, cluster, features).select("n_clusters", "silhouette")
     return inner.crossJoin(F.broadcast(outer))  # one row
 
 
@@ -139,6 +124,53 @@ def _cells(x: Column, side: float, dims: int) -> list[Column]:
     return [F.floor(x[i] / side).cast("int") for i in range(dims)]
 
 
+def _distance(a, b) -> Column:
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
+
+
+def _measured(points: DataFrame, pivots: int, eps: float) -> DataFrame:
+    """Adds distances ``d`` to the pivots, the widest spread first, and the ``strip`` by the first.
+
+    Pivots are a repeatable choice of ``pivots`` points; any choice gives the same clusters.
+    """
+    chosen = points.orderBy(F.xxhash64("id"), "id").limit(pivots).agg(
+        F.collect_list("x").alias("pivots"))
+    measured = points.crossJoin(F.broadcast(chosen)).withColumn(  # one row
+        "d", F.transform("pivots", lambda p: _distance(F.col("x"), p))).drop("pivots")
+    n = measured.select(F.size("d")).first()
+    spread = measured.agg(*[F.stddev_pop(F.col("d")[i]).alias(str(i)) for i in range(n[0] if n else 0)]).first()
+    order = sorted(range(len(spread)), key=lambda i: -(spread[i] or 0.0))
+    best = F.array(*[F.col("d")[i] for i in order])
+    return measured.withColumn("d", best).withColumn("strip", F.floor(F.col("d")[0] / eps))
+
+
+def near_candidates(points: DataFrame, eps: float) -> DataFrame:
+    """Ordered pairs of points in different cells whose distances to all pivots differ by eps at most."""
+    left = points.select(
+        F.col("id").alias("a"), F.col("x").alias("ax"), F.col("cell").alias("acell"), F.col("d").alias("ad"),
+        F.col("w").alias("aw"), F.explode(F.array("strip", F.col("strip") + 1)).alias("strip"), F.col("strip").alias("home"))
+    right = points.select(
+        F.col("id").alias("b"), F.col("x").alias("bx"), F.col("cell").alias("bcell"), F.col("d").alias("bd"),
+        F.col("w").alias("bw"), "strip")
+    slack = eps * (1 + 1e-9)  # distances are rounded
+    alike = F.forall(F.zip_with("ad", "bd", lambda p, q: F.abs(p - q) <= slack), lambda ok: ok)
+    # Pairs inside a strip meet once, by id; pairs of neighbouring strips once anyway.
+    once = (F.col("home") < left["strip"]) | (F.col("a") < F.col("b"))
+    return left.join(right, (left["strip"] == right["strip"]) & (F.col("acell") != F.col("bcell")) & once & alike)
+
+
+def _near(points: DataFrame, eps: float) -> DataFrame:
+    """Both directions of every pair of points in different cells within eps of each other."""
+    square = F.aggregate(
+        F.zip_with("ax", "bx", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
+    pairs = near_candidates(points, eps).where(square <= eps * eps)
+    both = F.array(
+        F.struct("a", "acell", "b", "bcell", F.col("bw").alias("w")),
+        F.struct(F.col("b").alias("a"), F.col("bcell").alias("acell"), F.col("a").alias("b"),
+                 F.col("acell").alias("bcell"), F.col("aw").alias("w")))
+    return pairs.select(F.inline(both))
+
+
 def _is_star_forest(links: DataFrame) -> bool:
     """Does every node hang on one root, and no root on another node?"""
     ends = links.select(F.inline(F.array(
@@ -148,7 +180,7 @@ def _is_star_forest(links: DataFrame) -> bool:
     return roles.where("child > 1 OR (child = 1 AND parent = 1)").isEmpty()
 
 
-def _minimum_labels(nodes: DataFrame, edges: DataFrame, limit: int = 50) -> DataFrame:
+def _minimum_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest node id reachable from each node.
 
     Alternates large-star and small-star steps, which need a logarithmic number of
@@ -156,7 +188,7 @@ def _minimum_labels(nodes: DataFrame, edges: DataFrame, limit: int = 50) -> Data
     and a lost executor costs one round, not all.
     """
     links = edges.select("u", "v").distinct()
-    for _ in range(limit):
+    while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m"))
@@ -171,15 +203,13 @@ def _minimum_labels(nodes: DataFrame, edges: DataFrame, limit: int = 50) -> Data
         links = after
         if _is_star_forest(links):
             break
-    else:
-        raise RuntimeError("density clusters did not settle")
     roots = links.groupBy("u").agg(F.min("v").alias("root"))
     return nodes.join(roots, nodes["node"] == roots["u"], "left").select(
         "node", F.coalesce("root", "node").alias("root"))
 
 
 def dbscan(
-    df: DataFrame, key: str, features: str, eps: float, min_samples: int, axes: int = 2,
+    df: DataFrame, key: str, features: str, eps: float, min_samples: int, pivots: int = 16,
 ) -> DataFrame:
     """Exact density clusters; adds ``cluster`` (-1 is noise).
 
@@ -189,10 +219,11 @@ def dbscan(
     * Equal vectors collapse to one weighted point, so copies cost nothing.
     * Points in one cell of side eps / sqrt(d) are neighbours by construction.  Such
       cells are the nodes of the graph, and no pair inside a cell is ever formed.
-    * Other neighbours are found by an equi-join on a coarse grid over the first
-      ``axes`` coordinates, the point against the 3**axes cells around its own, with
-      the distance test in the join.  Only matches leave the join, and AQE splits
-      hot cells.
+    * Other neighbours are found from distances to ``pivots`` points: two points within eps
+      of each other differ by at most eps in their distance to any pivot.  The pivot whose
+      distances spread most deals the points into strips of width eps, joined with
+      themselves and the next strip; the other pivots must agree before the distance
+      itself is computed.  Matches are written once.
     """
     ensure_checkpoints(df.sparkSession)
     rows = df.select(F.col(key).alias("id"), as_array(df, features).alias("x"))
@@ -200,25 +231,12 @@ def dbscan(
     if size is None:
         return df.withColumn("cluster", F.lit(-1))
     dims = size[0]
-    axes = min(axes, dims)
     points = (
         rows.groupBy("x").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("id"))
         .withColumn("cell", F.md5(F.concat_ws(",", *_cells(F.col("x"), eps / sqrt(dims), dims))))
-        .withColumn("grid", F.array(*_cells(F.col("x"), eps, axes)))
     ).checkpoint()
-    around = F.array(*[
-        F.array(*[F.col("grid")[i] + F.lit(step[i]) for i in range(axes)])
-        for step in product((-1, 0, 1), repeat=axes)])
-    left = points.select(
-        F.col("id").alias("a"), F.col("x").alias("ax"), F.col("cell").alias("acell"),
-        F.explode(around).alias("grid"))
-    right = points.select(
-        F.col("id").alias("b"), F.col("x").alias("bx"), F.col("cell").alias("bcell"), "w", "grid")
-    square = F.aggregate(
-        F.zip_with("ax", "bx", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
-    near = left.join(
-        right, (left["grid"] == right["grid"]) & (F.col("acell") != F.col("bcell"))
-        & (square <= eps * eps)).select("a", "acell", "b", "bcell", "w")
+    points = _measured(points, pivots, eps).checkpoint()
+    near = _near(points, eps).checkpoint()
     in_cell = points.groupBy("cell").agg(F.sum("w").alias("cell_w"))
     outside = near.groupBy("a").agg(F.sum("w").alias("more"))
     core = (

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from tonegauge.constants import SEED
 from tonegauge.operators.metrics import macro_scores, regression_scores
 from tonegauge.operators.quality import split_valid
+from tonegauge.operators.sampling import balanced_weights
 from tonegauge.operators.sampling import folds as fold_column
+from tonegauge.sources.files import path_exists
 
 
 class MacroF1(Evaluator):
@@ -47,12 +49,16 @@ def cross_validate(
 
 def fit_side_by_side(
     stages: list, models: dict[str, Estimator], train: DataFrame, parallelism: int = 4,
+    balance: bool = False,
 ) -> dict[str, tuple[PipelineModel, float]]:
     """Pipelines that share their feature stages, fitted on the same rows, with seconds each.
 
     The stages learn from ``train`` alone, once, and the estimators are fitted at the
-    same time on the features they give; the result equals separate pipelines.
+    same time on the features they give; the result equals separate pipelines.  ``balance``
+    adds the ``weight`` column from the classes of these rows.
     """
+    if balance:
+        train = balanced_weights(train, "label")
     prepared = Pipeline(stages=stages).fit(train)
     used = [c for c in train.columns if c in ("label", "weight")]
     rows = prepared.transform(train).select("features", *used).persist()
@@ -71,13 +77,13 @@ def fit_side_by_side(
 
 def fold_measures(
     stages: list, models: dict[str, Estimator], df: DataFrame, key: str, k: int,
-    measure: Callable[[DataFrame], DataFrame], stratify: str | None = "label",
+    measure: Callable[[DataFrame], DataFrame], stratify: str | None = "label", balance: bool = False,
 ) -> dict[str, list]:
     """One row of ``measure`` per model and fold."""
     folded = fold_column(df, key, k, stratify).persist()
     found: dict[str, list] = {name: [] for name in models}
     for fold in range(k):
-        fitted = fit_side_by_side(stages, models, folded.where(F.col("fold") != fold))
+        fitted = fit_side_by_side(stages, models, folded.where(F.col("fold") != fold), balance=balance)
         held = folded.where(F.col("fold") == fold)
 
         def one(name: str):
@@ -140,12 +146,19 @@ def search_table(spark: SparkSession, search, grid: list[dict]) -> DataFrame:
     ).orderBy(F.col("cv_f1_mean").desc(), "params")
 
 
-def tuning_impact(spark: SparkSession, results: dict[str, float]) -> DataFrame:
-    """Macro-F1 per method and its change against the first one."""
-    base = next(iter(results.values()))
-    return spark.createDataFrame(
-        [(name, round(float(f1), 4), round(float(f1 - base), 4)) for name, f1 in results.items()],
-        "method string, f1_macro double, delta double")
+def tuning_impact(
+    spark: SparkSession, estimator: Estimator, searches: dict[str, list[dict]], train: DataFrame,
+    test: DataFrame, key: str, k: int = 5,
+) -> DataFrame:
+    """Per method the best candidate's cross-validated macro-F1, its macro-F1 on the held-out
+    test rows after a refit on all training rows, and the change of that against the first method."""
+    rows = []
+    for name, grid in searches.items():
+        search = cross_validate(estimator, train, key, k, MacroF1(), grid)
+        f1 = MacroF1().evaluate(search.bestModel.transform(test))
+        rows.append((name, round(float(max(search.avgMetrics)), 4), round(f1, 4),
+                     round(f1 - (rows[0][2] if rows else f1), 4)))
+    return spark.createDataFrame(rows, "method string, cv_f1_mean double, test_f1_macro double, delta double")
 
 
 def random_grid(draws: dict, n: int, seed: int = SEED) -> list[dict]:
@@ -192,12 +205,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_or_train(path: str | None, train) -> PipelineModel:
     """The saved pipeline if there is one, otherwise train it (and save it)."""
-    if path:
-        try:
-            return PipelineModel.load(path)
-        except Exception as error:  # a missing path surfaces as a JVM or Python error
-            if "does not exist" not in str(error) and "PATH_NOT_FOUND" not in str(error):
-                raise
+    if path and path_exists(SparkSession.active(), f"{path}/metadata"):
+        return PipelineModel.load(path)
     model = train()
     if path:
         save_model(model, path)

@@ -137,14 +137,11 @@ class FillMostFrequent(Estimator, HasInputCols, DefaultParamsReadable, DefaultPa
         return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-GRAM_LIMIT = 3000  # columns: X'X has at most 72 MB
-
-
 class TruncatedSvd(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Projection on the k leading right singular vectors, without centring.
 
-    The decomposition runs on the distributed rows; the factor (vocabulary x k) is
-    all that reaches the driver.
+    The products of columns are summed on the distributed rows; the driver gets the
+    vocabulary x vocabulary matrix and decomposes it.
     """
 
     k = Param(Params._dummy(), "k", "components", TypeConverters.toInt)
@@ -158,14 +155,11 @@ class TruncatedSvd(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable,
     def _fit(self, dataset):
         rows = MLUtils.convertVectorColumnsFromML(
             dataset.select(F.col(self.getInputCol()).alias("v")), "v").persist()
+        # One pass: the right singular vectors are the eigenvectors of X'X, whose size is the
+        # square of the vocabulary (its documented bound, max_features).
         k, matrix = self.getOrDefault(self.k), RowMatrix(rows)
-        if matrix.numCols() <= GRAM_LIMIT:
-            # One pass: the right singular vectors are the eigenvectors of X'X.
-            _, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
-            factor = vectors[:, ::-1][:, :k]
-        else:
-            # A pass per iteration, and nothing larger than the factor on the driver.
-            factor = matrix.computeSVD(k, computeU=False).V.toArray()
+        _, vectors = np.linalg.eigh(matrix.computeGramianMatrix().toArray())
+        factor = vectors[:, ::-1][:, :k]
         rows.unpersist()
         # Signs are arbitrary; the largest entry of each component is made positive.
         signs = np.sign(factor[np.abs(factor).argmax(axis=0), range(factor.shape[1])])

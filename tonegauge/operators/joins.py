@@ -11,23 +11,11 @@ from tonegauge.constants import (
 )
 from tonegauge.operators.ordering import dense_index
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(dim: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the dimension is small.
-
-    The count stops at the limit.  A larger dimension gets no hint, and Spark
-    joins it by shuffle, where AQE splits the partitions of hot keys.
-    """
-    return F.broadcast(dim) if dim.limit(rows + 1).count() <= rows else dim
-
-
 def attach_campaigns(
     posts: DataFrame, campaigns: DataFrame, key: str = "campaign_name"
 ) -> DataFrame:
     """Left join in which a missing campaign matches a missing campaign."""
-    dim = broadcast_if_small(campaigns.withColumnRenamed(key, "_key"))
+    dim = campaigns.withColumnRenamed(key, "_key")
     return posts.join(dim, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 

@@ -7,7 +7,7 @@ distinct values of a group in one hash map.  Here
 
 1. equal values collapse to (value, count) with map-side partial aggregation,
    so a value shared by a third of all rows is one row;
-2. about a thousand cut points split the distinct values into ordered buckets of
+2. cut points, four or more per shuffle partition, split the distinct values into ordered buckets of
    similar size.  The cuts are every 4th value of a bottom-k hash sample, one
    row of bounded size.  They steer the work only: results are exact for any cuts;
 3. bucket totals give each bucket its starting rank;
@@ -17,15 +17,20 @@ distinct values of a group in one hash map.  Here
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
 _SPREAD = 4
 
 
+def buckets(df: DataFrame) -> int:
+    """A power of two, four or more per shuffle partition, so that sorting keeps all tasks busy."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 << max(6, (4 * partitions - 1).bit_length())
+
+
 def _cut_points(values: DataFrame, name: str) -> DataFrame:
-    """One row: at most BUCKETS - 1 ordered cut points."""
+    """One row: fewer ordered cut points than there are buckets."""
     # The order is any fixed pseudo-random one; limit() after it is a top-k.
     sample = (
-        values.orderBy(F.xxhash64(name), name).limit(BUCKETS * _SPREAD - 1)
+        values.orderBy(F.xxhash64(name), name).limit(buckets(values) * _SPREAD - 1)
         .agg(F.sort_array(F.collect_list(name)).alias("_sample"))
     )
     # filter() evaluates its array once, so the sort runs once.
@@ -33,9 +38,9 @@ def _cut_points(values: DataFrame, name: str) -> DataFrame:
     return sample.select(every.alias("_cuts"))
 
 
-def _bucket(value: Column) -> Column:
+def _bucket(value: Column, n: int) -> Column:
     """Binary search of the value in the cut points; past their end get() is NULL."""
-    steps = F.array(*[F.lit(BUCKETS >> i) for i in range(1, BUCKETS.bit_length())])
+    steps = F.array(*[F.lit(n >> i) for i in range(1, n.bit_length())])
     return F.aggregate(
         steps, F.lit(0),
         lambda at, step: F.when(
@@ -49,7 +54,7 @@ def _with_bucket(counts: DataFrame, name: str) -> DataFrame:
     cuts = _cut_points(counts.where("_n > 0"), name)
     return (
         counts.crossJoin(F.broadcast(cuts))  # one row of bounded size
-        .withColumn("_b", _bucket(F.col(name))).drop("_cuts")
+        .withColumn("_b", _bucket(F.col(name), buckets(counts))).drop("_cuts")
     )
 
 
@@ -66,7 +71,7 @@ def exact_quantiles(
     located = _with_bucket(counts, "_v")
     per_bucket = located.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn"))
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # At most BUCKETS rows per group.
+    # At most one row per bucket and group.
     offsets = per_bucket.select(
         *by, "_b", "_bn",
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_start"),
@@ -125,7 +130,7 @@ def value_ladder(df: DataFrame, value: str, group: str, groups: list[str]) -> Da
     located = _with_bucket(counts, "value")
     sums = ["_n", *names]
     totals = located.groupBy("_b").agg(*[F.sum(c).alias(f"_t{c}") for c in sums])
-    # No more than BUCKETS rows.
+    # No more rows than buckets.
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_b", *[
         F.coalesce(F.sum(f"_t{c}").over(before), F.lit(0)).alias(f"_s{c}") for c in sums
@@ -156,5 +161,5 @@ def dense_index(names: DataFrame, name: str, out: str = "position") -> DataFrame
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_b", F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy("_b").orderBy(name)
-    return located.join(F.broadcast(starts), "_b").select(  # at most BUCKETS rows
+    return located.join(F.broadcast(starts), "_b").select(  # a row per bucket
         name, (F.col("_start") + F.row_number().over(inside) - 1).alias(out))

@@ -6,13 +6,20 @@ holds a class: the key's leading digits split each class into equal buckets, the
 bucket counts give each bucket its starting position.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonegauge.constants import SEED
 from tonegauge.functions.hashing import bucket_of, shuffle_key, uniform
 
-DIGITS = 3
+
+
+def digits(df: DataFrame) -> int:
+    """Hex digits that cut every class into sixteen buckets or more per shuffle partition."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, math.ceil(math.log(16 * partitions, 16)))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
@@ -28,9 +35,9 @@ def shuffled_position(df: DataFrame, key: str, label: str | None, seed: int = SE
     """
     by = [label] if label else []
     keyed = df.withColumn("_key", shuffle_key(F.col(key), seed)).withColumn(
-        "_bucket", bucket_of(F.col("_key"), DIGITS))
+        "_bucket", bucket_of(F.col("_key"), digits(df)))
     counts = keyed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 16**DIGITS rows per class.
+    # At most 16**digits rows per class.
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         *by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
@@ -79,12 +86,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     totals = counts.agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_classes"))
     weights = counts.crossJoin(F.broadcast(totals)).select(  # one row
         label, (F.col("_rows") / (F.col("_classes") * F.col("_n"))).alias(out))
-    return df.join(class_table(weights, label), label)
-
-
-def class_table(table: DataFrame, label: str, limit: int = 10_000) -> DataFrame:
-    """A table with a row per class, broadcast once its size is counted."""
-    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+    return df.join(weights, label)
 
 
 def majority_class(train: DataFrame, label: str) -> DataFrame:

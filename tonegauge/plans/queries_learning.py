@@ -35,13 +35,13 @@ def coded_tone(spark, sf):
 
 # Features -------------------------------------------------------------------------------
 
-@query("m1_tfidf_pipeline", with_views(TEXT_POSTS, tfidf_sql("text_posts", "post_id", "text_content", 2, None, 20)) + """
+@query("m1_tfidf_pipeline", with_views(TEXT_POSTS, tfidf_sql("text_posts", "post_id", "text_content", 2, 5000, 20)) + """
 SELECT post_id, count(term) AS terms, round(coalesce(sum(weight), 0), 6) AS total,
   round(coalesce(max(weight), 0), 6) AS top
 FROM text_posts LEFT JOIN tfidf USING (post_id) GROUP BY post_id""")
 def m1_pipeline(spark, sf):
     df = views.text_posts(spark, sf).select("post_id", "text_content")
-    model = Pipeline(stages=fx.text_stages(max_features=1 << 18, min_df=20)).fit(df)
+    model = Pipeline(stages=fx.text_stages(min_df=20)).fit(df)
     values = vector_to_array(F.col("features"))
     arrays = model.transform(df).select("post_id", F.filter(values, lambda v: v > 0).alias("v"))
     return arrays.select(
@@ -120,7 +120,7 @@ def m5(spark, sf):
 
 # Naive Bayes is closed form: log prior plus weight times log of the smoothed class share.
 @query("m6_naive_bayes_tone", with_views(
-    tfidf_sql("documents", "doc_id", "text", 1, None, 5), """
+    tfidf_sql("documents", "doc_id", "text", 1, 5000, 5), """
 tones AS (
   SELECT doc_id, CASE lang WHEN 'en' THEN 'Neutral' WHEN 'de' THEN 'Negative' ELSE 'Positive' END AS tone
   FROM documents
@@ -139,7 +139,7 @@ SELECT t.doc_id AS post_id, t.tone AS label,
     (SELECT tone FROM priors ORDER BY p DESC LIMIT 1)) AS prediction FROM tones t""")
 def m6(spark, sf):
     df, labels = coded_tone(spark, sf)
-    stages = fx.text_stages(max_features=1 << 18, grams=1, min_df=5)
+    stages = fx.text_stages(grams=1, min_df=5)
     model = mx.pipeline(stages, mx.naive_bayes()).fit(df)
     return tasks.predictions(model, df, "post_id", labels)
 
@@ -233,12 +233,12 @@ def m16(spark, sf):
 
 @query("m17_authentic_success_models")
 def m17(spark, sf):
-    df = sampling.balanced_weights(tasks.success_table(views.posts(spark, sf)), "label")
+    df = tasks.success_table(views.posts(spark, sf))
     train, test = tasks.split(df, "post_id", test=0.25)
     stages = fx.mixed_stages("text_content", tasks.SUCCESS_CATEGORIES, tasks.SUCCESS_NUMBERS)
     models = tasks.weighted_models(trees=10, rounds=5, iterations=10)
     rows = []
-    for name, (model, _) in evaluation.fit_side_by_side(stages, models, train).items():
+    for name, (model, _) in evaluation.fit_side_by_side(stages, models, train, balance=True).items():
         scores = metrics.macro_scores(model.transform(test), "label", "prediction").first()
         rows.append((name, *[round(scores[c], 4) for c in (
             "accuracy", "precision_macro", "recall_macro", "f1_macro")]))
@@ -249,15 +249,69 @@ def m17(spark, sf):
 
 @query("m18_coherence_models")
 def m18(spark, sf):
-    df = sampling.balanced_weights(tasks.coherence_table(views.posts(spark, sf)), "label")
+    df = tasks.coherence_table(views.posts(spark, sf))
     models = tasks.weighted_models(trees=10, rounds=5, iterations=10)
     folds = evaluation.fold_measures(
-        fx.context_stages(K.COHERENCE_FEATURES), models, df, "post_id", 3, evaluation.classifier_measure)
+        fx.context_stages(K.COHERENCE_FEATURES), models, df, "post_id", 5, evaluation.classifier_measure, balance=True)
     rows = [(name, round(sum(r["f1_macro"] for r in found) / len(found), 4))
             for name, found in folds.items()]
     return metrics.best_model(spark.createDataFrame(rows, "model string, f1_macro double"), "f1_macro")
 
 
+RULE = """
+SELECT event_id, label, label AS prediction FROM (
+  SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k,
+    CAST(CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) >= 50 AS DOUBLE) AS label FROM events)
+WHERE k < 40 OR k >= 60"""
+
+
+def rule_posts(spark, sf):
+    """Events whose label is a threshold of one feature, with a margin around it."""
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    df = views.table(spark, sf, "events").select("event_id", k.alias("k"), (k >= 50).cast("double").alias("label"))
+    return df.where("k < 40 OR k >= 60").withColumn(
+        "features", array_to_vector(F.array((F.floor(F.col("k") / 10) - 5).cast("double"))))
+
+
+def learned_rule(spark, sf, model):
+    df = rule_posts(spark, sf)
+    return model.fit(df).transform(df).select("event_id", "label", "prediction")
+
+
+@query("m5b_logistic_learns_rule", RULE)
+def m5b(spark, sf):
+    return learned_rule(spark, sf, mx.ScaledLogistic())
+
+
+@query("m7b_forest_learns_rule", RULE)
+def m7b(spark, sf):
+    return learned_rule(spark, sf, mx.random_forest(trees=20, depth=4))
+
+
+@query("m8b_boosting_learns_rule", RULE)
+def m8b(spark, sf):
+    return learned_rule(spark, sf, mx.gradient_boosting(rounds=10))
+
+
+@query("m9b_linear_svc_learns_rule", RULE)
+def m9b(spark, sf):
+    return learned_rule(spark, sf, mx.ScaledLinearSvc())
+
+
+@query("m5c_logistic_calibrated", """
+SELECT CASE lang WHEN 'en' THEN 'Neutral' WHEN 'de' THEN 'Negative' ELSE 'Positive' END AS tone,
+  count(*) AS n, true AS calibrated FROM documents GROUP BY 1""")
+def m5c(spark, sf):
+    """A free intercept makes the mean probability of a class its share of the training rows."""
+    df, labels = coded_tone(spark, sf)
+    model = mx.pipeline(fx.text_stages(max_features=200, grams=1), mx.ScaledLogistic()).fit(df)
+    values = F.posexplode(vector_to_array("probability")).alias("i", "p")
+    means = model.transform(df).select("label", values).withColumn("own", (F.col("label") == F.col("i")).cast("int"))
+    return means.groupBy("i").agg(
+        F.sum("own").alias("n"), (F.abs(F.avg("p") - F.avg("own")) < 0.01).alias("calibrated"),
+    ).select(evaluation.class_name(labels, "i").alias("tone"), "n", "calibrated")
+
+
 # Regressors -------------------------------------------------------------------------------
 
 def engagement(spark, sf):
@@ -281,6 +335,28 @@ def m22(spark, sf):
         "post_id", F.round("label", 6).alias("label"), F.round("prediction", 6).alias("prediction"))
 
 
+@query("m21b_robust_line", """
+SELECT event_id, CAST(event_id % 50 AS DOUBLE) * 2 + 1 AS label, CAST(event_id % 50 AS DOUBLE) * 2 + 1 AS prediction FROM events""")
+def m21b(spark, sf):
+    """Points on a line: the robust regression must return the line."""
+    x = (F.col("event_id") % 50).cast("double")
+    df = views.table(spark, sf, "events").select(
+        "event_id", (x * 2 + 1).alias("label"), array_to_vector(F.array(x)).alias("features"))
+    return mx.robust_linear().fit(df).transform(df).select("event_id", "label", F.round("prediction", 2).alias("prediction"))
+
+
+@query("m19b_ridge_closed_form", """
+WITH line AS (SELECT event_id, CAST(event_id % 50 AS DOUBLE) AS x, value AS y FROM events),
+fit AS (SELECT sum((x - mx) * (y - my)) / (sum((x - mx) ** 2) + 1) AS b, any_value(mx) AS mx, any_value(my) AS my
+  FROM line, (SELECT avg(x) AS mx, avg(y) AS my FROM line))
+SELECT event_id, round(my + b * (x - mx), 4) AS prediction FROM line, fit""")
+def m19b(spark, sf):
+    x = (F.col("event_id") % 50).cast("double")
+    df = views.table(spark, sf, "events").select(
+        "event_id", F.col("value").alias("label"), array_to_vector(F.array(x)).alias("features"))
+    return mx.ScaledRidge().fit(df).transform(df).select("event_id", F.round("prediction", 4).alias("prediction"))
+
+
 # Tuning -----------------------------------------------------------------------------------
 
 def tuned_pipeline():
@@ -301,15 +377,16 @@ def m23(spark, sf):
 @query("m24_m25_random_search_impact")
 def m24(spark, sf):
     df, _ = tasks.coded(views.posts(spark, sf), "sentiment_label")
+    train, test = tasks.split(df, "post_id")
     estimator, vectorizer, logistic = tuned_pipeline()
     draws = {logistic.C: lambda g: mx.log_uniform(g, 1e-2, 1e2),
-             vectorizer.maxFeatures: [300, 500, 800], vectorizer.grams: [1, 2]}
-    grid = evaluation.random_grid(draws, 3)
-    # The first candidate is the untuned pipeline.
-    search = evaluation.cross_validate(
-        estimator, df, "post_id", 2, evaluation.MacroF1(), [{}, *grid])
-    base, *others = search.avgMetrics
-    return evaluation.tuning_impact(spark, {"base": base, "random search": max(others)})
+             vectorizer.maxFeatures: lambda g: g.randint(300, 800), vectorizer.grams: [1, 2]}
+    searches = {
+        "base": [{}],
+        "grid search": [{logistic.C: c, vectorizer.grams: grams} for c in (0.1, 10.0) for grams in (1, 2)],
+        "random search": evaluation.random_grid(draws, 3),
+    }
+    return evaluation.tuning_impact(spark, estimator, searches, train, test, "post_id", 2)
 
 
 @query("m26_class_terms")
@@ -328,7 +405,7 @@ def vectors(spark, sf):
 
 @query("m27_kmeans_sweep")
 def m27(spark, sf):
-    return clustering.sweep_k(spark, vectors(spark, sf), "vec_id", [2, 3, 4, 5, 6], starts=2)
+    return clustering.sweep_k(spark, vectors(spark, sf), "vec_id", [2, 3, 4, 5, 6])
 
 
 @query("m28_bisecting_kmeans")
@@ -337,6 +414,43 @@ def m28(spark, sf):
     return clustering.bisecting(df, 6).transform(df).select("vec_id", "cluster")
 
 
+# Far-apart groups made from events: any sound clustering must find them.
+FAR = {"g": "event_id % 4", "x": "CAST(event_id % 2 AS DOUBLE) * 1000 + (event_id % 7) / 10.0e0",
+       "y": "CAST(event_id % 4 // 2 AS DOUBLE) * 30 + (event_id % 5) / 10.0e0"}
+FAR_SQL = f"""
+WITH far AS (SELECT event_id, {FAR["g"]} AS g, {FAR["x"]} AS x, {FAR["y"]} AS y FROM events),
+centre AS (SELECT g, avg(x) AS cx, avg(y) AS cy FROM far GROUP BY g)
+SELECT min(event_id) AS first_id, count(*) AS n, round(sum((x - cx) ** 2 + (y - cy) ** 2), 3) AS inertia
+FROM far JOIN centre USING (g) GROUP BY g"""
+
+
+def far_groups(spark, sf):
+    e = views.table(spark, sf, "events")
+    columns = {k: F.expr(v.replace("//", "div").replace("0e0", "0D")) for k, v in FAR.items()}
+    return e.select("event_id", *[v.alias(k) for k, v in columns.items()]).withColumn(
+        "features", array_to_vector(F.array("x", "y")))
+
+
+def far_report(members):
+    centre = members.groupBy("cluster").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    square = (F.col("x") - F.col("cx")) ** 2 + (F.col("y") - F.col("cy")) ** 2
+    return members.join(centre, "cluster").groupBy("cluster").agg(
+        F.min("event_id").alias("first_id"), F.count(F.lit(1)).alias("n"),
+        F.round(F.sum(square), 3).alias("inertia")).drop("cluster")
+
+
+@query("m27b_kmeans_far_groups", FAR_SQL)
+def m27b(spark, sf):
+    df = far_groups(spark, sf)
+    return far_report(clustering.best_kmeans(df, 4).transform(df))
+
+
+@query("m28b_bisecting_far_groups", FAR_SQL)
+def m28b(spark, sf):
+    df = far_groups(spark, sf)
+    return far_report(clustering.bisecting(df, 4).transform(df))
+
+
 NEIGHBOURS = """
 near AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b
@@ -379,43 +493,73 @@ def m30(spark, sf):
                       F.round("cumulative", 6).alias("cumulative"))
 
 
-# Pairwise distances of all embeddings; the query's sample size covers the table.
-SILHOUETTE = """
-pairs AS (
-  SELECT a.vec_id, a.label AS own, b.label AS other,
-    list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d
-  FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id
-), means AS (SELECT vec_id, own, other, avg(d) AS m FROM pairs GROUP BY 1, 2, 3
+@query("m30b_pca_invariants", with_views(POSTS, CONTEXT) + "SELECT 1.0e0 AS total, round((" + " + ".join(
+    f"coalesce(corr({a}, {b}), 0) ** 2" for a in K.COHERENCE_FEATURES for b in K.COHERENCE_FEATURES)
+    + f") / {len(K.COHERENCE_FEATURES) ** 2}, 5) AS squares FROM context")
+def m30b(spark, sf):
+    """Shares of variance sum to 1, their squares to the mean squared correlation."""
+    df = tasks.coherence_table(views.posts(spark, sf))
+    scaled = Pipeline(stages=fx.context_stages(K.COHERENCE_FEATURES)).fit(df).transform(df)
+    out = clustering.pca_variance(scaled, "features", len(K.COHERENCE_FEATURES))
+    return out.agg(F.round(F.sum("variance"), 6).alias("total"),
+                   F.round(F.sum(F.col("variance") ** 2), 5).alias("squares"))
+
+
+@query("m30c_pca_projection", with_views(POSTS, CONTEXT) + "SELECT post_id, round(" + " + ".join(
+    f"pow(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 2)" for c in K.COHERENCE_FEATURES)
+    + ", 4) AS square FROM context")
+def m30c(spark, sf):
+    """Coordinates on all components keep the length of every row."""
+    df = tasks.coherence_table(views.posts(spark, sf))
+    scaled = Pipeline(stages=fx.context_stages(K.COHERENCE_FEATURES)).fit(df).transform(df)
+    out = clustering.pca_project(scaled, "features", len(K.COHERENCE_FEATURES))
+    square = F.aggregate(vector_to_array("projected"), F.lit(0.0), lambda s, v: s + v * v)
+    return out.select("post_id", F.round(square, 4).alias("square"))
+
+
+def silhouette_sql(source: str) -> str:
+    """Silhouette by squared distances of ``source`` (c, x): sizes, sums and norms per cluster."""
+    return f"""
+points AS (SELECT row_number() OVER () AS id, c, x, list_dot_product(x, x) AS xx FROM ({source})
+), sizes AS (SELECT c, count(*) AS n, sum(xx) AS q FROM points GROUP BY c
+), sums AS (
+  SELECT c, list(v ORDER BY i) AS s FROM (
+    SELECT c, i, sum(v) AS v FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM points) GROUP BY 1, 2)
+  GROUP BY c
+), totals AS (
+  SELECT id, p.c AS own, s.c AS other, n, greatest(n * xx + q - 2 * list_dot_product(x, s), 0) AS total
+  FROM points p, sizes s JOIN sums USING (c)
 ), widths AS (
-  SELECT vec_id, max(m) FILTER (own = other) AS a, min(m) FILTER (own <> other) AS b FROM means GROUP BY vec_id
+  SELECT id, max(CASE WHEN own = other THEN n END) AS n, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a,
+    min(CASE WHEN own <> other THEN total / n END) AS b FROM totals GROUP BY id
 )"""
 
 
-@query("a32_silhouette", with_views(SILHOUETTE) + """
-SELECT CAST((SELECT count(DISTINCT label) FROM embeddings) AS INTEGER) AS n_clusters,
-  CAST(count(*) AS INTEGER) AS n_sample,
-  round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS silhouette FROM widths""")
+@query("a32_silhouette", with_views(silhouette_sql(
+    "SELECT label AS c, CAST(embedding AS DOUBLE[]) AS x FROM embeddings")) + """
+SELECT CAST((SELECT count(*) FROM sizes) AS INTEGER) AS n_clusters, count(*) AS n_points,
+  round(avg(CASE WHEN n > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 4) AS silhouette FROM widths""")
 def a32(spark, sf):
-    return clustering.silhouette(views.vectors(spark, sf), "vec_id", "label", "embedding", 3000)
+    return clustering.silhouette(views.vectors(spark, sf), "label", "embedding")
 
 
 @query("m31_cluster_evaluation")
 def m31(spark, sf):
     df = vectors(spark, sf)
-    members = clustering.best_kmeans(df, 6, starts=2).transform(df)
-    return clustering.evaluate_clusters(members, "vec_id", "cluster", "label")
+    members = clustering.best_kmeans(df, 6).transform(df)
+    return clustering.evaluate_clusters(members, "cluster", "label")
 
 
 def topics(spark, sf, df):
     stages = fx.text_stages(max_features=1000, stopwords=True, min_df=2)
     prepared = Pipeline(stages=stages).fit(df).transform(df)
-    return clustering.best_kmeans(prepared, 6, starts=1).transform(prepared)
+    return clustering.best_kmeans(prepared, 6).transform(prepared)
 
 
 @query("m32_tone_by_topic")
 def m32(spark, sf):
     df, labels = coded_tone(spark, sf)
-    df = df.select("post_id", "text_content", "label").persist()
+    df = df.select("post_id", "text_content", "label")
     model = mx.pipeline(fx.text_stages(max_features=1000), mx.ScaledLogistic(maxIter=30)).fit(df)
     tone = model.transform(df).select("post_id", evaluation.class_name(labels).alias("tono_pred"))
     both = topics(spark, sf, df).select(
@@ -431,6 +575,27 @@ def a36b(spark, sf):
     return terms.cluster_terms(weights, members, "post_id", "cluster")
 
 
+@query("m3b_column_transformer", with_views(TEXT_POSTS, """
+filled AS (
+  SELECT post_id, coalesce(mentions, (SELECT mentions FROM text_posts WHERE mentions IS NOT NULL
+    GROUP BY mentions ORDER BY count(*) DESC, mentions LIMIT 1)) AS mention, language,
+    (n_chars - avg(n_chars) OVER ()) / stddev_pop(n_chars) OVER () AS scaled FROM text_posts
+)""") + """
+SELECT post_id, (SELECT count(DISTINCT mention) FROM filled) + (SELECT count(DISTINCT language) FROM filled) AS columns,
+  CAST(2 AS BIGINT) AS ones, round(scaled, 6) AS scaled FROM filled""")
+def m3b(spark, sf):
+    """Most frequent value for missing categories, one column per category, standard scaling."""
+    df = views.text_posts(spark, sf).select("post_id", "text_content", "mentions", "language", "n_chars")
+    stages = fx.mixed_stages("text_content", ["mentions", "language"], ["n_chars"], max_features=10)
+    model = Pipeline(stages=stages).fit(df)
+    parts = [vector_to_array(f"{c}_onehot") for c in ("mentions", "language")]
+    both = F.concat(*parts)
+    return model.transform(df).select(
+        "post_id", F.size(both).cast("bigint").alias("columns"),
+        F.aggregate(both, F.lit(0.0), lambda s, v: s + v).cast("bigint").alias("ones"),
+        F.round("n_chars_scaled", 6).alias("scaled"))
+
+
 # Scoring ----------------------------------------------------------------------------------
 
 def scored_documents(spark, sf):

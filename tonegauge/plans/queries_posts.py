@@ -71,14 +71,19 @@ def s2(spark, sf):
         F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("texts"))
 
 
-@query("s3_signature_audit", "SELECT false AS is_png, true AS has_files, count(*) AS n_rows FROM events")
+@query("s3_signature_audit", """
+SELECT 'image' AS folder, count(*) AS n_png, true AS any_png FROM nation
+UNION ALL SELECT 'posts', CAST(0 AS BIGINT), false FROM (SELECT count(*) FROM events)""")
 def s3(spark, sf):
+    """The posts as CSV next to files, one per nation, that start like an image."""
     path = fresh_folder(spark, "s3")
-    sinks.write_csv(views.posts(spark, sf), path)
-    rows = files.read_csv(spark, path).agg(F.count("post_id").alias("n_rows"))
-    return files.audit_signatures(spark, path).agg(
-        F.bool_or("is_png").alias("is_png"), (F.count(F.lit(1)) > 0).alias("has_files"),
-    ).crossJoin(F.broadcast(rows))  # one row
+    sinks.write_csv(views.posts(spark, sf), f"{path}/posts")
+    start = F.concat(F.lit(files.PNG_SIGNATURE), F.encode("n_name", "UTF-8")).cast("string")
+    views.table(spark, sf, "nation").select(start.alias("value")).write.option(
+        "maxRecordsPerFile", 1).text(f"{path}/image")
+    audit = files.audit_signatures(spark, path, "part-*")
+    return audit.groupBy(F.regexp_extract("path", "/(posts|image)/", 1).alias("folder")).agg(
+        F.count_if("is_png").alias("n_png"), F.bool_or("is_png").alias("any_png"))
 
 
 @query("s4_first_existing_source", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
@@ -233,18 +238,6 @@ TEXT_COLUMNS = ["post_id", "text_content", "language", "brand_name", "hashtags",
 TEXT_DTYPES = ["bigint", "string", "string", "string", "string", "string", "bigint", "int", "int"]
 
 
-@query("v1_required_columns", """
-SELECT 'texts' AS source, 'error' AS severity, 'missing_column' AS "check", c AS detail,
-  (SELECT count(*) FROM documents) AS n_rows
-FROM (SELECT unnest([%s]) AS c)
-WHERE c NOT IN (%s)""" % (sql_list(K.REQUIRED_POST_COLUMNS), sql_list(TEXT_COLUMNS)))
-def v1(spark, sf):
-    df = views.text_posts(spark, sf)
-    issues = quality.required_columns(df, K.REQUIRED_POST_COLUMNS, "texts", strict=False)
-    rows = views.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n_rows"))
-    return issues.crossJoin(F.broadcast(rows))  # one row
-
-
 @query("v2_quality_report", with_views(POSTS) + quality_sql(POST_COLUMNS, POST_DTYPES, 3, "posts"))
 def v2(spark, sf):
     return quality.quality_report(views.posts(spark, sf))
@@ -269,28 +262,6 @@ def v5(spark, sf):
     return quality.duplicate_rows(views.table(spark, sf, "documents").select("text", "lang", "source"))
 
 
-@query("v6_leakage_columns", """
-SELECT c AS "column", (SELECT count(*) FROM events) AS n_rows FROM (SELECT unnest([%s]) AS c)""" % sql_list(
-    sorted(set(K.LEAKAGE_COLUMNS) & set(POST_COLUMNS))))
-def v6(spark, sf):
-    df = views.posts(spark, sf)
-    rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return quality.leakage_columns(df).crossJoin(F.broadcast(rows))  # one row
-
-
-@query("v7_leakage_audit", """
-SELECT 'permitida' AS tipo, c AS columna, c IN (%s) AS existe_en_df, (SELECT count(*) FROM events) AS n_rows
-FROM (SELECT unnest([%s]) AS c)
-UNION ALL
-SELECT 'prohibida_leakage', c, c IN (%s), (SELECT count(*) FROM events) FROM (SELECT unnest([%s]) AS c)""" % (
-    sql_list(POST_COLUMNS), sql_list(K.ALLOWED_FEATURES),
-    sql_list(POST_COLUMNS), sql_list(K.FORBIDDEN_FEATURES)))
-def v7(spark, sf):
-    df = views.posts(spark, sf)
-    rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return quality.leakage_audit(df).crossJoin(F.broadcast(rows))  # one row
-
-
 KEPT = [c for c in POST_COLUMNS if c not in K.DROPPED_COLUMNS]
 
 
@@ -320,7 +291,6 @@ limits AS (
   FROM posts, limits
 )"""
 
-_FINAL_COLUMNS = len(RAW_POSTS) + 18  # derived columns of transform_posts, see SUMMARY_LEAKS
 
 
 @query("v10_run_summary", with_views(POSTS, THRESHOLDS) + """
@@ -367,15 +337,6 @@ def v13(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("v14_schema_drift", """
-SELECT 'timestamp' AS "column", 'type' AS issue, 'timestamp' AS expected,
-  'timestamp_ntz' AS found, count(*) AS n_rows FROM events""")
-def v14(spark, sf):
-    df = views.posts(spark, sf)
-    rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return schema_drift(spark, df, RAW_POSTS).crossJoin(F.broadcast(rows))  # one row
-
-
 # Projections ---------------------------------------------------------------------
 
 @query("p1_parse_timestamp", """
@@ -756,22 +717,29 @@ def w6(spark, sf):
 
 # The whole posts job ---------------------------------------------------------------
 
-@query("etl_platform_report", with_views(POSTS, THRESHOLDS) + """
-SELECT platform, count(*) AS posts, sum(fake_engagement_flag)::BIGINT AS fake,
-  sum(authentic_success_ev3)::BIGINT AS authentic,
+ENRICHED = POSTS.replace("), posts AS (", "), all_posts AS (", 1).rstrip() + """, posts AS (
+  SELECT * FROM all_posts WHERE CAST(post_id AS BIGINT) % 10 <> 0
+)"""
+
+
+@query("etl_platform_report", with_views(ENRICHED, THRESHOLDS) + """
+SELECT platform, count(*) AS posts, count(*) FILTER (CAST(post_id AS BIGINT) % 7 <> 0) AS in_raw,
+  sum(fake_engagement_flag)::BIGINT AS fake, sum(authentic_success_ev3)::BIGINT AS authentic,
   round(avg(engagement_rate), 6) AS mean_engagement, round(sum(total_interactions), 2) AS interactions,
   round(avg(CAST(fake_engagement_flag AS DOUBLE)) * 100, 4) AS fake_pct,
   sum(planned_budget_usd)::BIGINT AS budget
-FROM flagged LEFT JOIN campaigns USING (campaign_name) GROUP BY platform""".replace(
-    "FROM flagged LEFT JOIN campaigns", "FROM flagged LEFT JOIN (" + """
-    SELECT campaign_name, CAST(8000 + (i * 1750) % 42000 AS INTEGER) AS planned_budget_usd FROM (
-      SELECT campaign_name, row_number() OVER (ORDER BY campaign_name) - 1 AS i
-      FROM (SELECT DISTINCT campaign_name FROM posts))) campaigns"""))
+FROM flagged LEFT JOIN (
+  SELECT campaign_name, CAST(8000 + (i * 1750) % 42000 AS INTEGER) AS planned_budget_usd FROM (
+    SELECT campaign_name, row_number() OVER (ORDER BY campaign_name) - 1 AS i
+    FROM (SELECT DISTINCT campaign_name FROM posts))) campaigns USING (campaign_name) GROUP BY platform""")
 def etl_platform_report(spark, sf):
-    base = views.posts(spark, sf)
-    final = etl.integrate(base, base, joins.provisional_campaigns(base))
+    """Enriched posts lack every tenth post, the raw source every seventh."""
+    base, key = views.posts(spark, sf), F.col("post_id").cast("bigint")
+    raw, enriched = base.where(key % 7 != 0), base.where(key % 10 != 0)
+    final = etl.integrate(raw, enriched, joins.provisional_campaigns(enriched))
     return final.groupBy("platform").agg(
-        F.count(F.lit(1)).alias("posts"), F.sum("fake_engagement_flag").alias("fake"),
+        F.count(F.lit(1)).alias("posts"), F.count_if("exists_in_raw_source").alias("in_raw"),
+        F.sum("fake_engagement_flag").alias("fake"),
         F.sum("authentic_success_ev3").alias("authentic"),
         F.round(F.avg("engagement_rate"), 6).alias("mean_engagement"),
         F.round(F.sum("total_interactions"), 2).alias("interactions"),

@@ -42,6 +42,23 @@ def t1(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum(F.length("text_content")).alias("chars"))
 
 
+@query("t1b_stream_rejects", with_views(POSTS) + """
+SELECT platform, 'text shorter than 1 character' AS reason, count(*) AS n FROM posts
+WHERE CAST(post_id AS BIGINT) % 20 = 0 GROUP BY platform
+UNION ALL SELECT platform, 'missing text', count(*) FROM posts
+WHERE CAST(post_id AS BIGINT) % 20 = 1 GROUP BY platform""")
+def t1b(spark, sf):
+    """Every twentieth post loses its text, the next one has none: the reject branch of the stream."""
+    at = F.col("post_id").cast("bigint") % 20
+    df = views.posts(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp")).withColumn(
+        "text_content", F.when(at == 0, "").when(at != 1, F.col("text_content")))
+    path = fresh_folder(spark, "t1b")
+    df.write.parquet(path)
+    _, rejected = live.valid_posts(live.read_stream(spark, path, df.schema, "parquet"))
+    out = finish(spark, rejected.select("platform", "reason"), "t1b-out")
+    return out.groupBy("platform", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("t2_stream_dedup", with_views(POSTS) + """
 SELECT platform, count(*) AS n, count(DISTINCT post_id) AS ids FROM posts GROUP BY platform""")
 def t2(spark, sf):
@@ -82,3 +99,31 @@ def t4(spark, sf):
     return out.select(
         F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "platform", "posts",
         F.round("negative_share", 6).alias("negative_share"))
+
+
+@query("t4b_sliding_alerts_without_late_rows", with_views(POSTS) + """
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, platform, count(*) AS posts,
+  round(avg(CAST(sentiment_label = 'Negative' AS INTEGER)), 6) AS negative_share
+FROM (SELECT *, unnest([w, w - INTERVAL 12 HOUR]) AS s FROM (
+  SELECT *, time_bucket(INTERVAL 12 HOUR, "timestamp", TIMESTAMP '1970-01-01') AS w FROM posts))
+GROUP BY 1, 2 HAVING count(*) >= 5 AND avg(CAST(sentiment_label = 'Negative' AS INTEGER)) > 0.45""")
+def t4b(spark, sf):
+    """Windows of a day every 12 hours; copies of all posts that arrive after the watermark count nowhere."""
+    path, schema = landing(spark, sf, "t4b")
+    posts = spark.read.schema(schema).parquet(path)
+    files = len(posts.inputFiles())
+    closing = spark.createDataFrame(
+        [("closing", "none")], "post_id string, platform string").withColumn(
+        "timestamp", F.lit("2100-01-01").cast("timestamp"))
+    spark.createDataFrame([], schema).unionByName(closing, allowMissingColumns=True).coalesce(1).write.mode(
+        "append").parquet(path)
+    live_rows = live.with_event_time(live.read_stream(spark, path, schema, "parquet", files + 1))
+    shares = live.negative_share(
+        live_rows, F.col("sentiment_label") == "Negative", window="1 day", slide="12 hours")
+    found, out, done = live.alerts(shares, 0.45, 5), fresh_folder(spark, "t4b-out"), fresh_folder(spark, "t4b-progress")
+    live.run_available(found, out, done)
+    posts.write.mode("append").parquet(path)  # late: the stream goes on where it stopped
+    late = live.run_available(found, out, done)
+    return late.select(
+        F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "platform", "posts",
+        F.round("negative_share", 6).alias("negative_share"))
