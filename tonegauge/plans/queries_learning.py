@@ -58,6 +58,19 @@ def m2(spark, sf):
         "post_id", F.transform(vector_to_array("features"), lambda v: F.round(v, 6)).alias("components"))
 
 
+@query("m2b_svd_keeps_length", with_views(TEXT_POSTS, tfidf_sql("text_posts", "post_id", "text_content", 1, 30, 1)) + """
+SELECT post_id, round(sqrt(coalesce(sum(weight * weight), 0)), 4) AS length
+FROM text_posts LEFT JOIN tfidf USING (post_id) GROUP BY post_id""")
+def m2b(spark, sf):
+    """With as many components as terms the projection keeps every document's length."""
+    df = views.text_posts(spark, sf).select("post_id", "text_content")
+    stages = [*fx.text_stages(out="tfidf", max_features=30, grams=1),
+              fx.TruncatedSvd(inputCol="tfidf", outputCol="features", k=30)]
+    reduced = Pipeline(stages=stages).fit(df).transform(df)
+    square = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, v: s + v * v)
+    return reduced.select("post_id", F.round(F.sqrt(square), 4).alias("length"))
+
+
 @query("m3_impute_and_scale", with_views(TEXT_POSTS, """
 filled AS (
   SELECT post_id, coalesce(CAST(quality AS DOUBLE), (SELECT quantile_cont(quality, 0.5) FROM labels)) AS q,
@@ -396,6 +409,43 @@ def m26(spark, sf):
     return evaluation.class_terms(spark, model, labels)
 
 
+# A text that names its class: every sound text model must learn it.
+def naming_posts(spark, sf):
+    e = views.table(spark, sf, "events")
+    df = e.select(F.col("event_id").alias("post_id"), F.col("event_type").alias("sentiment_label"), F.concat(
+        F.lit("about own"), "event_type", F.lit(" number n"), F.col("event_id") % 7).alias("text_content"))
+    return tasks.coded(df, "sentiment_label")
+
+
+@query("m26b_own_token_leads", """
+SELECT DISTINCT event_type AS class, 1 AS rank, 'own' || lower(event_type) AS term FROM events""")
+def m26b(spark, sf):
+    df, labels = naming_posts(spark, sf)
+    model = mx.pipeline(fx.text_stages(max_features=50, grams=1), mx.ScaledLogistic()).fit(df)
+    return evaluation.class_terms(spark, model, labels, 1).drop("weight")
+
+
+@query("m33c_scores_name_the_class", """
+SELECT event_id AS post_id, event_type AS predicted_label, true AS agree FROM events""")
+def m33c(spark, sf):
+    df, labels = naming_posts(spark, sf)
+    model = mx.pipeline(fx.text_stages(max_features=50, grams=1), mx.ScaledLogistic()).fit(df)
+    scored = evaluation.score(model, df.select("post_id", "text_content"), labels)
+    reference = df.select("post_id", F.col("sentiment_label").alias("reference_label"))
+    return evaluation.compare_labels(scored, reference, "post_id").select("post_id", "predicted_label", "agree")
+
+
+@query("m12b_models_learn_names", """
+SELECT unnest(['logistic', 'naive_bayes', 'random_forest']) AS model, 1.0e0 AS cv_f1_mean, 1.0e0 AS test_accuracy,
+  1.0e0 AS test_f1_macro FROM (SELECT count(*) FROM events)""")
+def m12b(spark, sf):
+    df, _ = naming_posts(spark, sf)
+    train, test = tasks.split(df, "post_id")
+    return evaluation.compare_classifiers(
+        spark, fx.text_stages(max_features=50, grams=1), tasks.tone_models(trees=20), train, test, "post_id", k=2,
+    ).select("model", "cv_f1_mean", "test_accuracy", "test_f1_macro")
+
+
 # Clusters ---------------------------------------------------------------------------------
 
 def vectors(spark, sf):
