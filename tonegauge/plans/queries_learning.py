@@ -127,7 +127,7 @@ def p30(spark, sf):
 def m5(spark, sf):
     df, labels = coded_tone(spark, sf)
     train, test = tasks.split(df, "post_id")
-    model = mx.pipeline(fx.text_stages(), mx.ScaledLogistic(maxIter=50)).fit(train)
+    model = mx.pipeline(fx.text_stages(), mx.ScaledLogistic()).fit(train)
     return tasks.predictions(model, test, "post_id", labels)
 
 
@@ -161,7 +161,7 @@ def m6(spark, sf):
 def m7(spark, sf):
     df, labels = coded_tone(spark, sf)
     train, test = tasks.split(df, "post_id")
-    model = mx.pipeline(fx.text_stages(max_features=1000), mx.random_forest(trees=30, depth=6)).fit(train)
+    model = mx.pipeline(fx.text_stages(), mx.random_forest()).fit(train)
     return tasks.predictions(model, test, "post_id", labels)
 
 
@@ -178,7 +178,7 @@ def m9(spark, sf):
     df, labels = tasks.coded(views.posts(spark, sf), "emotion_type")
     train, test = tasks.split(df, "post_id")
     model = mx.pipeline(
-        fx.text_stages(max_features=1000, grams=1), mx.ScaledLinearSvc(classes=5, maxIter=5)).fit(train)
+        fx.text_stages(grams=1), mx.ScaledLinearSvc(classes=5)).fit(train)
     return tasks.predictions(model, test, "post_id", labels)
 
 
@@ -207,13 +207,13 @@ def m14(spark, sf):
     toxic = df.withColumn("label", (F.col("toxicity_score") > K.TOXIC_THRESHOLD).cast("double"))
     return tasks.contrast(
         spark, {"sentiment": tone, "toxicity": toxic}, "post_id",
-        lambda: mx.pipeline(fx.text_stages(max_features=500, min_df=2), mx.ScaledLogistic(maxIter=20)))
+        lambda: mx.pipeline(fx.text_stages(min_df=2), mx.ScaledLogistic()))
 
 
 @query("m15_cross_dataset_report")
 def m15(spark, sf):
     source, labels = coded_tone(spark, sf)
-    model = mx.pipeline(fx.text_stages(max_features=2000), mx.ScaledLogistic(maxIter=50)).fit(source)
+    model = mx.pipeline(fx.text_stages(), mx.ScaledLogistic()).fit(source)
     talks = views.table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("post_id"), F.col("text").alias("text_content"),
         F.when(F.col("role") == "user", "Neutral").when(F.col("role") == "system", "Negative")
@@ -232,13 +232,13 @@ def m16(spark, sf):
     df, _ = coded_tone(spark, sf)
     train, test = tasks.split(posts.add_manual_text_features(df), "post_id")
     scenarios = {
-        "text": fx.text_stages(max_features=1000),
-        "text_and_manual": fx.text_with_manual_stages("text_content", MANUAL, max_features=1000),
+        "text": fx.text_stages(),
+        "text_and_manual": fx.text_with_manual_stages("text_content", MANUAL),
         "manual": fx.context_stages(MANUAL),
     }
     rows = []
     for name, stages in scenarios.items():
-        model = mx.pipeline(stages, mx.ScaledLogistic(maxIter=30)).fit(train)
+        model = mx.pipeline(stages, mx.ScaledLogistic()).fit(train)
         f1 = metrics.macro_scores(model.transform(test), "label", "prediction").first()["f1_macro"]
         rows.append((name, round(f1, 4)))
     return spark.createDataFrame(rows, "scenario string, f1_macro double")
@@ -405,7 +405,7 @@ def m24(spark, sf):
 @query("m26_class_terms")
 def m26(spark, sf):
     df, labels = coded_tone(spark, sf)
-    model = mx.pipeline(fx.text_stages(max_features=2000), mx.ScaledLogistic(maxIter=50)).fit(df)
+    model = mx.pipeline(fx.text_stages(), mx.ScaledLogistic()).fit(df)
     return evaluation.class_terms(spark, model, labels)
 
 
@@ -610,7 +610,7 @@ def topics(spark, sf, df):
 def m32(spark, sf):
     df, labels = coded_tone(spark, sf)
     df = df.select("post_id", "text_content", "label")
-    model = mx.pipeline(fx.text_stages(max_features=1000), mx.ScaledLogistic(maxIter=30)).fit(df)
+    model = mx.pipeline(fx.text_stages(), mx.ScaledLogistic()).fit(df)
     tone = model.transform(df).select("post_id", evaluation.class_name(labels).alias("tono_pred"))
     both = topics(spark, sf, df).select(
         "post_id", lookup(F.col("cluster"), K.TOPIC_NAMES).alias("tema_nombre")).join(tone, "post_id")
@@ -650,7 +650,7 @@ def m3b(spark, sf):
 
 def scored_documents(spark, sf):
     df, labels = coded_tone(spark, sf)
-    model = mx.pipeline(fx.text_stages(max_features=1000), mx.ScaledLogistic(maxIter=30)).fit(df)
+    model = mx.pipeline(fx.text_stages(), mx.ScaledLogistic()).fit(df)
     items = df.select("post_id", "text_content", "sentiment_label")
     return evaluation.score(model, items, labels)
 
@@ -682,7 +682,7 @@ def s18(spark, sf):
     df, _ = coded_tone(spark, sf)
 
     def train() -> PipelineModel:
-        return mx.pipeline(fx.text_stages(max_features=500), mx.naive_bayes()).fit(df)
+        return mx.pipeline(fx.text_stages(), mx.naive_bayes()).fit(df)
 
     first = evaluation.load_or_train(path, train)
     second = evaluation.load_or_train(path, train)

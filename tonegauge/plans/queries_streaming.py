@@ -72,7 +72,7 @@ def t2(spark, sf):
 SELECT count(*) AS scored, count(*) AS same_as_batch FROM posts""")
 def t3(spark, sf):
     df, labels = tasks.coded(views.posts(spark, sf), "sentiment_label")
-    model = mx.pipeline(fx.text_stages(max_features=500, grams=1), mx.naive_bayes()).fit(df)
+    model = mx.pipeline(fx.text_stages(grams=1), mx.naive_bayes()).fit(df)
     stream = streamed(spark, sf, "t3").select("post_id", "text_content")
     out = finish(spark, live.score_stream(model, stream, labels), "t3-out")
     batch = live.score_stream(model, df.select("post_id", "text_content"), labels)
