@@ -31,6 +31,7 @@ MAGIC, HEAD = b"HCB1", struct.Struct("<4s4Iq")
 LIMIT, EVERY = 20, 256
 NULL_ID = -(1 << 63)
 BLOCK_IDS, FILE_BLOCKS, FILE_TEXT = 65_536, 256, 32 << 20
+LANE_BLOCKS = 64
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -137,8 +138,11 @@ def write_block(code: Code, doc_ids: list, parts: list[np.ndarray], before: int)
 
 
 def read_blocks(code: Code, content: bytes):
-    """Per block: document ids, ids per document, ids before the block, all its ids."""
-    at = 0
+    """Per block: document ids, ids per document, ids before the block, all its ids.
+
+    The lanes of up to LANE_BLOCKS blocks are decoded together.
+    """
+    at, held = 0, []
     while at < len(content):
         magic, docs, n, marks, size, before = HEAD.unpack_from(content, at)
         end = at + HEAD.size + 12 * docs + 4 * marks + size
@@ -147,12 +151,19 @@ def read_blocks(code: Code, content: bytes):
         p = at + HEAD.size
         keys = np.frombuffer(content, "<i8", docs, p)
         lengths = np.frombuffer(content, "<u4", docs, p + 8 * docs).astype(np.int64)
-        starts = np.frombuffer(content, "<u4", marks, p + 12 * docs)
+        starts = np.frombuffer(content, "<u4", marks, p + 12 * docs).astype(np.int64)
         counts = np.full(marks, EVERY, np.int64)
         counts[-1:] = n - EVERY * (marks - 1)
-        payload = content[end - size:end]
-        yield keys, lengths, before, code.decode(payload, starts, counts)
+        held.append((keys, lengths, before, starts, counts, content[end - size:end]))
         at = end + 5
+        if len(held) == LANE_BLOCKS or at >= len(content):
+            shift = np.cumsum([0, *(8 * len(h[5]) for h in held)])
+            ids = code.decode(b"".join(h[5] for h in held),
+                              np.concatenate([h[3] + s for h, s in zip(held, shift)]),
+                              np.concatenate([h[4] for h in held]))
+            cuts = np.cumsum([h[4].sum() for h in held])[:-1]
+            yield from ((*h[:3], part) for h, part in zip(held, np.split(ids, cuts)))
+            held = []
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = 1,
@@ -174,7 +185,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
         enc = encoder(tokenizer)
         small = enc.tokenizer.get_vocab_size() <= 1 << 16
         for batch in batches:
-            ids = [enc.ids(t, end) for t in batch.column("text").to_pylist()]
+            ids = enc.ids(batch.column("text").cast(pa.binary()).to_pylist(), end)
             key = batch.column("doc_id")
             part = np.searchsorted(bounds, key.fill_null(NULL_ID).to_numpy(zero_copy_only=False), "right")
             yield pa.RecordBatch.from_arrays([
@@ -190,11 +201,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw, n in zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist()):
-                found = np.bincount(unpack(raw, n))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total[:len(found)] += found
+            rows = zip(batch.column("ids").to_pylist(), batch.column("n_tokens").to_pylist())
+            ids = [unpack(raw, n) for raw, n in rows]
+            found = np.bincount(np.concatenate(ids)) if ids else total[:0]
+            if len(found) > len(total):
+                total = np.pad(total, (0, len(found) - len(total)))
+            total[:len(found)] += found
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 

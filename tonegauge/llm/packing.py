@@ -68,8 +68,8 @@ def cut(docs: DataFrame, tokenizer: str, end: int = 1, length: int = LENGTH, doc
         enc, step = encoder(tokenizer), 4 * length
         for batch in batches:
             rows, out = [], []
-            for row, body in enumerate(batch.column("text").to_pylist()):
-                raw = enc.ids(body, end).tobytes()
+            for row, ids in enumerate(enc.ids(batch.column("text").cast(pa.binary()).to_pylist(), end)):
+                raw = ids.tobytes()
                 for at in range(0, len(raw), step):
                     part = raw[at:at + step]
                     rows.append(row)
