@@ -109,7 +109,7 @@ def test_join_finds_links_that_leaders_miss(spark, monkeypatch):
     docs = [(i, " ".join(words[i * 8:i * 8 + 100])) for i in range(100)] + [(500 + i, " ".join(words[3:120 - i])) for i in range(30)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     for rounds in (0, 2):
-        monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", rounds)
+        monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
         got = sorted(map(tuple, ngram_join.link(df).select("doc_id", "n_shingles", "component_id").collect()))
         assert got == brute.components(sorted(docs))
 

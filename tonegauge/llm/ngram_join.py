@@ -8,10 +8,13 @@
    OR-combined bitmaps and size ranges; a dual traversal drops node pairs that are one
    component or whose largest possible overlap is too small. What is left is compared.
 
-Every comparison is of whole shingle sets. Nothing is dropped: leaders only spare work,
-and the last step covers every pair of different components that shares a prefix shingle.
+Pairs are first bounded by bitmaps as wide as their sets are large; those that may link
+are compared by their whole shingle sets. Nothing is dropped: leaders only spare work, and
+the last step covers every pair of different components that shares a prefix shingle.
 """
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,14 +25,28 @@ from tonegauge.llm.common import byte_words, written
 
 WORDS, PERCENT = 5, 75
 BITS = 1024
-#: Sampled documents that say which shingles to put last in the order. Any order gives the
+#: The share of documents that says which shingles to put last in the order. Any order gives the
 #: same links; a good one keeps passages that many documents share out of the prefixes.
-ORDER_SAMPLE, COMMON_FROM, COMMON_MOST = 8_000, 4, 500_000
+ORDER_SHARE, COMMON_FROM, COMMON_MOST = 1 / 8, 4, 500_000
 #: Bits of the fixed-size filter of classes whose sets are wanted.
 FILTER_BITS = 1 << 26
-LEADER_ROUNDS, LEADERS = 4, 2
+ROUNDS, LEADERS = 4, 2
 LEAF, FANOUT = 32, 8
-_HASHES: dict[bytes, int] = {}
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; a worker remembers at most ``most`` of them."""
+
+    most = 500_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_HASHES = WordHashes()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -44,17 +61,14 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(found) < words:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64)
-    if len(_HASHES) > 500_000:
-        _HASHES.clear()
-    known = _HASHES
-    for w in {w for w in found if w not in known}:
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
     n = len(h) - words + 1
-    key = _mix(h[:n])
+    key = h[:n].copy()
     for j in range(1, words):
-        key = _mix(key * np.uint64(0xBF58476D1CE4E5B9) + h[j:j + n])
-    return np.unique(key)
+        key *= np.uint64(0xBF58476D1CE4E5B9)
+        key += h[j:j + n]
+    key = np.sort(_mix(key))
+    return key[np.concatenate([[True], key[1:] != key[:-1]])]
 
 
 def class_of(found: np.ndarray) -> int:
@@ -71,12 +85,23 @@ def prefix(found: np.ndarray, common: np.ndarray, percent: int = PERCENT) -> np.
     return found[:size]
 
 
-def signature(found: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(found % np.uint64(BITS)).astype(np.int64)] = 1
+def wide_map(found: np.ndarray) -> bytes:
+    """A bitmap of at least four bits per shingle; its length is a power of two."""
+    size = max(BITS, 1 << (4 * len(found) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(found % np.uint64(size)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The bitmap that a smaller power of two gives: parts laid over each other."""
+    return np.bitwise_or.reduce(bits.reshape(-1, size // 8), axis=0)
+
+
+def signature(found: np.ndarray) -> bytes:
+    return folded(np.frombuffer(wide_map(found), np.uint8), BITS).tobytes()
+
+
 def links(overlap, sizes, percent: int = PERCENT):
     """percent of the union at least: 100 * overlap >= percent * (sizes - overlap)."""
     return (100 + percent) * overlap >= percent * sizes
@@ -146,9 +171,7 @@ def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
 
 
 def _common(source: DataFrame, words: int) -> np.ndarray:
-    total = source.count()
-    share = min(1.0, ORDER_SAMPLE / max(1, total))
-    chosen = source.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = source.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 20)) < int(ORDER_SHARE * (1 << 20)))
 
     def run(batches):
         for batch in batches:
@@ -223,15 +246,15 @@ def _wanted(shared: DataFrame) -> np.ndarray:
     return bits
 
 
-_DOCS = "doc_id long, text_hash long, n long, class_id long, found binary"
+_DOCS = "doc_id long, text_hash long, n long, class_id long, bits binary"
 
 
 def _documents(source: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
-    """Every document's class; the set itself where the class may share a key, once per task."""
+    """Every document's class; its wide bitmap where the class may share a key, once per task."""
     def run(batches):
         done = set()
         for batch in batches:
-            n, owners, sets = [], [], []
+            n, owners, maps = [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingles(text, words)
                 own = class_of(found)
@@ -240,36 +263,86 @@ def _documents(source: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
                     done.add(own)
                 n.append(len(found))
                 owners.append(own)
-                sets.append(found.tobytes() if ask else None)
+                maps.append(wide_map(found) if ask else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()),
-                 pa.array(owners, pa.int64()), pa.array(sets, pa.binary())],
-                names=["doc_id", "text_hash", "n", "class_id", "found"])
+                 pa.array(owners, pa.int64()), pa.array(maps, pa.binary())],
+                names=["doc_id", "text_hash", "n", "class_id", "bits"])
 
     return source.mapInArrow(run, _DOCS)
 
 
+def _sets(source: DataFrame, documents: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(class_id, found) of the classes in the pairs; others only by accident of the filter.
+
+    One text of each class is chosen by its hash, so other texts aren't cut into shingles.
+    """
+    used = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
+    chosen = documents.join(used, "class_id").groupBy("class_id").agg(F.min("text_hash").alias("text_hash"))
+    wanted = _wanted(chosen.select(F.col("text_hash").alias("class_id")))
+
+    def run(batches):
+        done = set()
+        for batch in batches:
+            owners, sets = [], []
+            for key, text in zip(batch.column("text_hash").to_pylist(), batch.column("text")):
+                if key in done or not _has(wanted, key % FILTER_BITS):
+                    continue
+                done.add(key)
+                found = shingles(text.as_py(), words)
+                if len(found):
+                    owners.append(class_of(found))
+                    sets.append(found.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(sets, pa.binary())],
+                                             names=["class_id", "found"])
+
+    rows = source.select("text_hash", "text").mapInArrow(run, "class_id long, found binary")
+    return rows.groupBy("class_id").agg(F.first("found").alias("found"))
+
+
 def _has(bits: np.ndarray, spot: int) -> bool:
     return bool(bits[spot >> 3] >> (spot & 7) & 1)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with the column of either class as x and y."""
+    left = table.select(F.col("class_id").alias("a"), F.col(column).alias("x"))
+    right = table.select(F.col("class_id").alias("b"), F.col(column).alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+
+
+def _bounded(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and wide bitmaps leave possible."""
+    def run(batches):
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                n, m = x["n"], y["n"]
+                p, q = (np.frombuffer(v["bits"], np.uint8) for v in (x, y))
+                size = 8 * min(len(p), len(q))
+                p, q = folded(p, size), folded(q, size)
+                shared = int(np.bitwise_count(p & q).sum())
+                # Every bit of one that the other lacks is a shingle that the other lacks.
+                overlap = shared + min(n - int(np.bitwise_count(p).sum()), m - int(np.bitwise_count(q).sum()))
+                good.append(links(overlap, n + m, percent))
+            yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
+
+    rows = maps.select("class_id", F.struct("n", "bits").alias("map"))
+    return _with_both(pairs, rows, "map").mapInArrow(run, "a long, b long")
+
+
+def _verified(source: DataFrame, documents: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     def run(batches):
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x"), batch.column("y")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
-                    good.append(False)
-                    continue
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 good.append(bool(links(int((y[at] == x).sum()), len(x) + len(y), percent)))
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    left = sets.select(F.col("class_id").alias("a"), F.col("found").alias("x"))
-    right = sets.select(F.col("class_id").alias("b"), F.col("found").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return _with_both(pairs, _sets(source, documents, pairs, words), "found").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -294,15 +367,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _led(groups: DataFrame, seed: int) -> DataFrame:
-    """Pairs of each class with the leaders of its (key, size range), chosen by seeded hash."""
-    pairs = None
-    for k in range(LEADERS):
-        chosen = groups.groupBy("key", "range").agg(F.min_by(
-            "class_id", F.xxhash64(F.lit(LEADERS * seed + k), "class_id")).alias("leader"))
-        part = groups.join(chosen, ["key", "range"]).where("leader <> class_id").select(
-            F.least("leader", "class_id").alias("a"), F.greatest("leader", "class_id").alias("b"))
-        pairs = part if pairs is None else pairs.union(part)
-    return pairs.distinct()
+    """A pair per class: of the leaders of its (key, size range) groups, chosen by seeded hash, the one
+    it shares most keys with."""
+    chosen = groups.groupBy("key", "range").agg(
+        F.min_by("class_id", F.xxhash64(F.lit(seed), "class_id")).alias("leader"))
+    shared = groups.join(chosen, ["key", "range"]).where("leader <> class_id").groupBy(
+        "class_id", "leader").agg(F.count(F.lit(1)).alias("keys"))
+    best = shared.groupBy("class_id").agg(F.max_by("leader", F.struct("keys", "leader")).alias("leader"))
+    return best.select(F.least("leader", "class_id").alias("a"), F.greatest("leader", "class_id").alias("b")).distinct()
 
 
 def _rest(groups: DataFrame, percent: int) -> DataFrame:
@@ -347,6 +419,14 @@ def _unsettled(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
     return named.join(open_keys.where("low < high").select("key"), "key", "left_semi")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) that aren't one component yet."""
+    a = labels.select(F.col("class_id").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("class_id").alias("b"), F.col("label").alias("lb"))
+    both = pairs.join(a, "a", "left").join(b, "b", "left")
+    return both.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id",
          text: str = "text") -> DataFrame:
     """One row per document row: doc_id, text_hash, n_shingles, component (an opaque number), component_id.
@@ -362,34 +442,37 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: st
     common = _common(source, words)
     shared = written(_shared(_announced(source, common, words, percent)), "shared")
     documents = written(_documents(source, _wanted(shared), words), "documents")
-    sets = documents.where(F.col("found").isNotNull()).groupBy("class_id").agg(
-        F.first("n").alias("n"), F.first("found").alias("found"))
-    sets = written(sets.join(shared.select("class_id").distinct(), "class_id", "left_semi"), "sets")
-
-    @F.pandas_udf("binary")
-    def bits(found):
-        return found.map(lambda raw: signature(np.frombuffer(raw, np.uint64)))
-
-    sizes = sets.select("class_id", "n", F.floor(F.log("n") / np.log(100 / percent)).alias("range"))
+    maps = written(documents.where(F.col("bits").isNotNull()).groupBy("class_id").agg(
+        F.first("n").alias("n"), F.first("bits").alias("bits")), "maps")
+    sizes = maps.select("class_id", "n", F.floor(F.log("n") / np.log(100 / percent)).alias("range"))
     groups = written(shared.join(sizes, "class_id"), "groups")
-    labels, edges = None, None
-    for seed in range(LEADER_ROUNDS):
-        led = _led(_unsettled(groups, labels), seed)
-        if labels is not None:
-            a = labels.select(F.col("class_id").alias("a"), F.col("label").alias("la"))
-            b = labels.select(F.col("class_id").alias("b"), F.col("label").alias("lb"))
-            led = led.join(a, "a", "left").join(b, "b", "left").where(
-                ~F.coalesce("la", "a").eqNullSafe(F.coalesce("lb", "b"))).select("a", "b")
-        new = written(_verified(led, sets, percent), "links")
-        if new.isEmpty():
+    edges, labels, tried = None, None, None
+    for turn in range(ROUNDS):
+        groups_now = _unsettled(groups, labels)
+        led = reduce(DataFrame.union, [_led(groups_now, LEADERS * turn + i) for i in range(LEADERS)]).distinct()
+        if tried is not None:
+            led = _apart(led, labels).join(tried, ["a", "b"], "left_anti")
+        pairs = written(_bounded(led, maps, percent), "pairs")
+        if pairs.isEmpty():
             break
+        new = written(_verified(source, documents, pairs, words, percent), "links")
+        tried = pairs if tried is None else tried.union(pairs)
         edges = new if edges is None else edges.union(new)
+        if new.isEmpty():
+            break
         labels = components(edges)
-    maps = sets.select("class_id", bits("found").alias("bits"))
-    rest = _unsettled(groups, labels).join(maps, "class_id")
-    new = written(_verified(_rest(rest, percent), sets, percent), "links")
-    edges = new if edges is None else edges.union(new)
-    labels = components(edges)
+
+    @F.pandas_udf("binary")
+    def narrow(bits):
+        return bits.map(lambda raw: folded(np.frombuffer(raw, np.uint8), BITS).tobytes())
+
+    rest = _unsettled(groups, labels).join(maps.select("class_id", narrow("bits").alias("bits")), "class_id")
+    rest = written(_rest(rest, percent), "candidates")
+    rest = _bounded(rest, maps, percent)
+    if tried is not None:
+        rest = rest.join(tried, ["a", "b"], "left_anti")
+    new = written(_verified(source, documents, written(rest, "pairs"), words, percent), "links")
+    labels = components(new if edges is None else edges.union(new))
     rows = documents.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "class_id").join(
         labels, "class_id", "left")
     rows = rows.withColumn("component", F.when(F.col("n_shingles") > 0, F.coalesce("label", "class_id")))
@@ -404,15 +487,16 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id
              text: str = "text") -> DataFrame:
     """The documents of which one per component stays, the one with the smallest id (then text hash).
 
-    Documents without words all stay. Of fully repeated rows one stays.
+    A null id stays only where there is no other. Documents without words all stay. Of
+    fully repeated rows one stays.
     """
     linked = link(docs, words, percent, doc_id, text)
-    first = F.min(F.struct("doc_id", "text_hash"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash"))
     kept = linked.where("component is not null").groupBy("component").agg(first.alias("it")).select(
-        F.col("it.doc_id").alias("_kept_id"), F.col("it.text_hash").alias("_kept_text"))
-    rows = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("_id"),
-                       F.xxhash64(F.col(text)).alias("_text"))
-    on = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_text") == F.col("_kept_text"))
+        F.xxhash64("it.doc_id", "it.text_hash").alias("_key"))
+    key = F.xxhash64(F.col(doc_id).cast("long"), F.xxhash64(F.col(text)))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("_key"))
     wordless = ~F.coalesce(F.col(f"row.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    chosen = rows.where(~wordless).join(kept, on, "left_semi").dropDuplicates(["_id", "_text"])
+    # One key for the join and for repeated rows: the texts are shuffled once.
+    chosen = rows.where(~wordless).join(kept, "_key", "left_semi").dropDuplicates(["_key"])
     return chosen.select("row.*").unionByName(rows.where(wordless).select("row.*"))
