@@ -207,7 +207,7 @@ def m14(spark, sf):
     toxic = df.withColumn("label", (F.col("toxicity_score") > K.TOXIC_THRESHOLD).cast("double"))
     return tasks.contrast(
         spark, {"sentiment": tone, "toxicity": toxic}, "post_id",
-        lambda: mx.pipeline(fx.text_stages(min_df=2), mx.ScaledLogistic()))
+        lambda: mx.pipeline(fx.text_stages(min_df=2), mx.ScaledLogistic(maxIter=100)))
 
 
 @query("m15_cross_dataset_report")
