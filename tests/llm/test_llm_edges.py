@@ -193,8 +193,9 @@ def test_archives(spark):
         expected.append((key, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if other else "response",
                          max(same_body) if other else None, None if other else raw))
     same([(*r[:5], None if r[5] is None else bytes(r[5])) for r in rows], expected)
-    files = spark.read.format("binaryFile").load(f"{path}/archives").collect()
-    index = spark.read.json(f"{path}/index").collect()
+    files = spark.read.format("binaryFile").load(f"{path}/normal/kind=archives").collect()
+    sidecars = spark.read.format("binaryFile").load(f"{path}/normal/kind=index").collect()
+    index = [line for f in sidecars for line in gzip.decompress(bytes(f["content"])).splitlines()]
     assert sum(gzip.decompress(bytes(f["content"])).count(b"WARC/1.1\r\n") for f in files) == len(pages) == len(index)
     assert warc.archive_pages(df.limit(0)).count() == 0
 

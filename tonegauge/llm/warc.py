@@ -14,33 +14,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonegauge.llm.common import scratch, written
+from tonegauge.llm.common import scratch
 
 REVISIT_FROM = 1000
 ARCHIVE_BYTES = 32 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 CHUNK = 1 << 20
-_ENTRY = "struct<offset:long,length:long,type:string,record:string,digest:string>"
 
 
 def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
            least: int = REVISIT_FROM) -> DataFrame:
-    """Rows page_id, url, body, digest, refers_to: null refers_to is a response.
+    """Rows page_id, url, packed (the body, deflated), digest, refers_to: null refers_to is a response.
 
     Of rows with equal bodies of at least ``least`` bytes, those with the largest page_id
     are responses and the others refer to it; a null page_id is never the largest unless
-    all are null. A null body is empty.
+    all are null. A null body is empty. Bodies are deflated before they are shuffled.
     """
-    rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
-                        F.coalesce(F.col(html), F.lit("")).alias("body"))
-    rows = rows.withColumn("digest", F.sha1(F.encode("body", "UTF-8")))
-    winners = (rows.where(F.octet_length("body") >= least).groupBy("digest")
+    source = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
+                          F.coalesce(F.col(html), F.lit("")).alias("body"))
+
+    def deflate(batches):
+        for batch in batches:
+            bodies = batch.column("body").cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"),
+                 pa.array([zlib.compress(b, 1) for b in bodies], pa.binary()),
+                 pa.array([hashlib.sha1(b).hexdigest() for b in bodies], pa.string())],
+                names=["page_id", "url", "packed", "digest"])
+
+    rows = source.mapInArrow(deflate, "page_id long, url string, packed binary, digest string")
+    winners = (source.where(F.octet_length("body") >= least).groupBy(F.sha1(F.encode("body", "UTF-8")).alias("same"))
                .agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n"))
-               .where("n > 1").select(F.col("digest").alias("same"), "winner"))
+               .where("n > 1").select("same", "winner"))
     joined = rows.join(winners, F.col("digest") == F.col("same"), "left")
     other = F.col("winner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("winner"))
-    return joined.select("page_id", "url", "body", "digest", F.when(other, F.col("winner")).alias("refers_to"))
+    return joined.select("page_id", "url", "packed", "digest", F.when(other, F.col("winner")).alias("refers_to"))
 
 
 def record(page_id: int | None, url: str | None, body: bytes, digest: str, refers_to: int | None,
@@ -114,9 +123,9 @@ def write_monolithic(decided: DataFrame, path: str, date: str = "1970-01-01T00:0
     def run(batches):
         stream, out, size = zlib.compressobj(6, wbits=31), [], 0
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "body", "digest", "refers_to")))
-            for page_id, url, body, digest, refers_to in rows:
-                raw = record(page_id, url, body.encode(), digest, refers_to, date)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "packed", "digest", "refers_to")))
+            for page_id, url, packed, digest, refers_to in rows:
+                raw = record(page_id, url, zlib.decompress(packed), digest, refers_to, date)
                 out.append(stream.compress(raw))
                 size += len(raw)
                 if size >= archive_bytes:
@@ -135,8 +144,8 @@ def _content(raw: bytes) -> pa.RecordBatch:
 def normalise(spark: SparkSession, source: str, path: str) -> None:
     """Inflates each archive below ``source`` once and rewrites every record as its own member.
 
-    ``archives`` below ``path`` has one folder per archive, ``index`` a JSON line per
-    record: archive, offset, length, type, record, digest.
+    ``kind=archives`` below ``path`` has a folder per archive, ``kind=index`` its sidecar:
+    a gzip file of a JSON line per record with offset, length, type, record, digest.
     """
     def run(batches):
         for batch in batches:
@@ -150,16 +159,15 @@ def normalise(spark: SparkSession, source: str, path: str) -> None:
                                   "record": fields["WARC-Record-ID"], "digest": fields["WARC-Payload-Digest"]})
                     out.append(member)
                     at += len(member)
+                lines = "".join(json.dumps(entry) + "\n" for entry in index).encode()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name]), pa.array([b"".join(out)], pa.binary()), pa.array([json.dumps(index)])],
-                    names=["archive", "content", "index"])
+                    [pa.array(["archives", "index"]), pa.array([name, name]),
+                     pa.array([b"".join(out), gzip.compress(lines, mtime=0)], pa.binary())],
+                    names=["kind", "archive", "content"])
 
-    files = spark.read.format("binaryFile").load(source).select(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source).select(
         F.regexp_extract("path", r"([^/]+?)(?:\.txt)?$", 1).alias("archive"), "content")
-    done = written(files.mapInArrow(run, "archive string, content binary, index string"), "archives")
-    _save(done, f"{path}/archives", ["archive"])
-    entry = F.explode(F.from_json("index", f"array<{_ENTRY}>")).alias("entry")
-    done.select("archive", entry).select("archive", "entry.*").write.json(f"{path}/index")
+    _save(files.mapInArrow(run, "kind string, archive string, content binary"), path, ["kind", "archive"])
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
@@ -174,9 +182,9 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
     def run(batches):
         for batch in batches:
-            for content, entries in zip(batch.column("content"), batch.column("entries").to_pylist()):
+            for content, index in zip(batch.column("content"), batch.column("index").to_pylist()):
                 view, rows = memoryview(content.as_buffer()), []
-                for entry in entries:
+                for entry in map(json.loads, gzip.decompress(index).splitlines()):
                     fields, block = parse(gzip.decompress(view[entry["offset"]:entry["offset"] + entry["length"]]))
                     http, _, payload = block.partition(b"\r\n\r\n")
                     size = next(int(x[15:]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
@@ -193,12 +201,13 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
                     [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)] if rows else
                     [pa.array([], k) for k in kinds[:len(names)]], names=names)
 
-    index = spark.read.schema("archive string, offset long, length long").json(f"{path}/index")
-    index = index.groupBy("archive").agg(F.collect_list(F.struct("offset", "length")).alias("entries"))
-    files = (spark.read.format("binaryFile").load(f"{path}/archives")
-             .select(F.regexp_extract("path", r"archive=([^/]+)/[^/]+$", 1).alias("name"), "content"))
-    both = files.join(index, F.col("name") == F.col("archive"))
-    return both.select("content", "entries").mapInArrow(run, schema)
+    def files(kind, column):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return found.where(F.contains(F.col("path"), F.lit(f"/kind={kind}/"))).select(F.regexp_extract("path", r"archive=([^/]+)/[^/]+$", 1).alias("archive"),
+                            F.col("content").alias(column))
+
+    both = files("archives", "content").join(files("index", "index"), "archive")
+    return both.select("content", "index").mapInArrow(run, schema)
 
 
 def archive_pages(pages: DataFrame, path: str | None = None, with_payload: bool = False) -> DataFrame:
@@ -209,5 +218,5 @@ def archive_pages(pages: DataFrame, path: str | None = None, with_payload: bool
     spark = pages.sparkSession
     path = path or scratch(spark, "warc")
     write_monolithic(decide(pages), f"{path}/monolithic")
-    normalise(spark, f"{path}/monolithic", path)
-    return read_archives(spark, path, with_payload)
+    normalise(spark, f"{path}/monolithic", f"{path}/normal")
+    return read_archives(spark, f"{path}/normal", with_payload)
