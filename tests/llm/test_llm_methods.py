@@ -141,6 +141,27 @@ def test_alignment_counts_words_and_extends():
     assert len(at) and np.diff(at).max() <= passages.WINDOW
 
 
+def test_passages_around_a_differing_middle_are_kept(spark):
+    rng = np.random.default_rng(1)
+
+    def words(n):
+        return [f"w{i}" for i in rng.integers(0, 1 << 40, n)]
+
+    rows, expected = [], set()
+    for key, (first, gap, second) in enumerate([(60, 10, 60), (60, 50, 60), (60, 120, 60), (60, 300, 60), (45, 90, 150)]):
+        head, tail = words(first), words(second)
+        rows += [(2 * key + i, " ".join(head + words(gap + 7 * i) + tail)) for i in (0, 1)]
+        # brute force: the whole if it is alike, or else either passage
+        if first + second >= 0.75 * (first + gap + 7 + second):
+            expected.add((2 * key, 0, first + gap + second))
+        else:
+            expected |= {(2 * key, 0, first), (2 * key, first + gap, first + gap + second)}
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sides = {(r["doc_id"], r["start_word"], r["end_word"]) for r in found} | {
+        (r["other_doc_id"], r["other_start"], r["other_end"]) for r in found}
+    assert expected <= sides and len(found) == len(expected)
+
+
 def test_mixture_weights_follow_the_better_estimate():
     rows = [(3, -4, -40, 90), (3, language_model.NEVER, -20, 10), (0, language_model.NEVER, -8, 50)]
     by_bucket, _ = language_model.weights_from(rows, 1e-6, 2)
