@@ -162,6 +162,29 @@ def test_passages_around_a_differing_middle_are_kept(spark):
     assert expected <= sides and len(found) == len(expected)
 
 
+def test_passages_of_frequent_lines_are_found(spark):
+    rng = np.random.default_rng(2)
+    lines = [[f"w{i}" for i in rng.integers(0, 1 << 40, 30)] for _ in range(50)]
+
+    def filler(n):
+        return [f"w{i}" for i in rng.integers(0, 1 << 40, n)]
+
+    texts = []
+    for _ in range(400):  # frequent lines, none next to another
+        texts.append([w for i in rng.permutation(50)[:8] for w in lines[i] + filler(12)])
+    for pair in range(30):  # a passage of two lines, or of one and the words after it
+        one, two = rng.permutation(50)[:2]
+        passage = lines[one] + lines[two] if pair % 2 else lines[one] + filler(10)
+        texts += [filler(25) + passage + filler(25) for _ in range(2)]
+    for _ in range(40):  # a passage that many have, within a line that more have
+        texts.append(filler(20) + lines[0] + lines[1][:12] + filler(20))
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = {frozenset((r["doc_id"], r["other_doc_id"])) for r in found}
+    assert all(frozenset((400 + 2 * i, 401 + 2 * i)) in linked for i in range(30))
+    assert {i for i in range(460, 500)} <= {i for p in linked for i in p}
+
+
 def test_mixture_weights_follow_the_better_estimate():
     rows = [(3, -4, -40, 90), (3, language_model.NEVER, -20, 10), (0, language_model.NEVER, -8, 50)]
     by_bucket, _ = language_model.weights_from(rows, 1e-6, 2)
