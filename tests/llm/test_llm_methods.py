@@ -185,6 +185,66 @@ def test_passages_of_frequent_lines_are_found(spark):
     assert {i for i in range(460, 500)} <= {i for p in linked for i in p}
 
 
+def edited(rng, words, rule):
+    """The words with every n-th replaced, or a share of them replaced, dropped or added."""
+    out = []
+    for i, w in enumerate(words):
+        new = f"e{rng.integers(0, 1 << 40)}"
+        if rule >= 1:
+            out += [new] if i % rule == rule - 1 else [w]
+        elif rng.random() < rule:
+            out += [[new], [], [w, new]][rng.integers(0, 3)]
+        else:
+            out.append(w)
+    return out
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for w in a:
+        old, row = row, [0]
+        for j, v in enumerate(b):
+            row.append(old[j] + 1 if v == w else max(old[j + 1], row[j]))
+    return row[-1]
+
+
+def test_recall_of_edited_passages(spark):
+    rng = np.random.default_rng(3)
+    rows, promised, rules = [], {}, [10, 6, 0.05, 0.1, 0.15]
+    for key in range(150):
+        size, rule = int(rng.integers(50, 90)), rules[key % len(rules)]
+        first = [f"p{i}" for i in rng.integers(0, 1 << 40, size)]
+        second = edited(rng, first, rule)
+        if longest_common(first, second) >= 0.78 * max(len(first), len(second)):  # brute force
+            promised[key] = rule
+        for i, body in enumerate((first, second)):
+            around = [[f"f{i}" for i in rng.integers(0, 1 << 40, 30)] for _ in "ab"]
+            rows.append((2 * key + i, " ".join(around[0] + body + around[1])))
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = {min(r["doc_id"], r["other_doc_id"]) // 2 for r in found}
+    by_rule = {r: np.mean([k in linked for k, v in promised.items() if v == r]) for r in rules}
+    assert len(promised) > 120 and min(by_rule.values()) >= 0.95, by_rule
+
+
+def test_extension_follows_edits_past_the_margin(spark):
+    rng = np.random.default_rng(4)
+    first = [f"p{i}" for i in rng.integers(0, 1 << 40, 400)]
+    second = first[:7] + [w for i, w in enumerate(first[7:]) if i % 5 != 4]  # no seed past the start
+    rows = [(0, "x " + " ".join(first) + " y"), (1, "z " + " ".join(second) + " v")]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["start_word"], r["end_word"]) for r in found if r["doc_id"] == 0] + [
+        (r["other_start"], r["other_end"]) for r in found if r["other_doc_id"] == 0] == [(1, 401)]
+
+
+def test_a_passage_is_reported_once(spark):
+    line = [f"w{i}" for i in range(12)]
+    rows = [(i, " ".join([f"f{i}{j}" for j in range(20)] + line * (30 + i))) for i in (0, 1)]
+    found = [tuple(r) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+             .select("start_word", "end_word", "other_start", "other_end").collect()]
+    assert found and not any(a != b and a[0] >= b[0] and a[1] <= b[1] and a[2] >= b[2] and a[3] <= b[3]
+                             for a in found for b in found) and len(set(found)) == len(found)
+
+
 def test_mixture_weights_follow_the_better_estimate():
     rows = [(3, -4, -40, 90), (3, language_model.NEVER, -20, 10), (0, language_model.NEVER, -8, 50)]
     by_bucket, _ = language_model.weights_from(rows, 1e-6, 2)
