@@ -179,3 +179,43 @@ def test_best_of_seeds_is_not_worse(spark):
 def test_macro_f1_differs_from_weighted(spark):
     df = spark.createDataFrame([(0.0, 0.0)] * 9 + [(1.0, 0.0)], "label double, prediction double")
     assert evaluation.MacroF1().evaluate(df) == pytest.approx((18 / 19) / 2)
+
+
+def test_shared_pipeline_equals_separate_ones(spark, texts):
+    df, _ = tasks.coded(texts, "sentiment_label")
+    vectorizer, logistic = fx.text_stages()[0], mx.ScaledLogistic()
+    grid = [{logistic.C: c, vectorizer.grams: grams} for c in (0.1, 10.0) for grams in (1, 2)]
+    found = [evaluation.cross_validate(kind(stages=[vectorizer, logistic]), df, "post_id", 2, evaluation.MacroF1(), grid)
+             for kind in (Pipeline, mx.SharedPipeline)]
+    assert np.allclose(found[0].avgMetrics, found[1].avgMetrics)
+
+
+def test_registered_comparisons_run_the_whole_job(spark, monkeypatch):
+    from tonegauge.plans import queries_learning as q
+
+    sf, seen = "/root/testdata/sf0.001", []
+    for name in ("compare_classifiers", "compare_regressors", "fold_measures", "cross_validate", "tuning_impact"):
+        def caught(*args, name=name, **kwargs):
+            seen.append((name, args, kwargs))
+            raise StopIteration
+        monkeypatch.setattr(evaluation, name, caught)
+
+    def call(query):
+        with pytest.raises(StopIteration):
+            query(spark, sf)
+        return seen[-1][1:]
+
+    args, kwargs = call(q.m12)
+    assert kwargs["k"] == 5 and args[2]["random_forest"].getNumTrees() == 100 and args[2]["logistic"].getMaxIter() == 100
+    assert args[1][0].getOrDefault(args[1][0].maxFeatures) == 5000
+    args, kwargs = call(q.m13)
+    assert kwargs["k"] == 3 and {m.getMaxIter() for n, m in args[2].items() if n != "naive_bayes"} == {100}
+    for query, k in ((q.m17, 3), (q.m18, 5)):
+        args, _ = call(query)
+        assert args[4] == k and args[1]["random_forest"].getNumTrees() == 120 and args[1]["gradient_boosting"].getMaxIter() == 100
+    args, kwargs = call(q.m19)
+    assert kwargs["k"] == 3 and args[2]["random_forest"].getNumTrees() == 40
+    args, _ = call(q.m23)
+    assert args[3] == 5 and len(args[5]) == 12 and args[0].getStages()[1].getMaxIter() == 1000
+    args, _ = call(q.m24)
+    assert args[-1] == 5 and [len(g) for g in args[2].values()] == [1, 12, 15]

@@ -1,10 +1,13 @@
 """Estimators with the regularisation scale of the published models."""
 
 import random
+from collections import Counter
 from math import exp, log
+from threading import Lock
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.base import _FitMultipleIterator
 from pyspark.ml.classification import (
     GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier,
 )
@@ -162,6 +165,37 @@ def pipeline(stages: list, estimator) -> Pipeline:
     return Pipeline(stages=[*stages, estimator])
 
 
+class SharedPipeline(Pipeline):
+    """A pipeline whose candidates share the features that their settings have in common.
+
+    ``fitMultiple``, which cross-validation calls once per fold, fits the stages before the
+    last once for each of their settings; the models equal those of separate pipelines.
+    """
+
+    def fitMultiple(self, dataset, paramMaps):
+        *stages, last = self.getStages()
+        own = [{p: v for p, v in settings.items() if p.parent == last.uid} for settings in paramMaps]
+        shared = [{p: v for p, v in settings.items() if p.parent != last.uid} for settings in paramMaps]
+        keys = [frozenset(settings.items()) for settings in shared]
+        locks, open_fits, found = {key: Lock() for key in keys}, Counter(keys), {}
+
+        def fit(i: int) -> PipelineModel:
+            key = keys[i]
+            with locks[key]:
+                if key not in found:
+                    prepared = Pipeline(stages=stages).fit(dataset, shared[i])
+                    found[key] = prepared, prepared.transform(dataset).persist()
+            prepared, rows = found[key]
+            model = last.fit(rows, own[i])
+            with locks[key]:
+                open_fits[key] -= 1
+                if not open_fits[key]:
+                    rows.unpersist()
+            return PipelineModel(stages=[*prepared.stages, model])
+
+        return _FitMultipleIterator(fit, len(paramMaps))
+
+
 def log_uniform(generator: random.Random, low: float, high: float) -> float:
     """One draw whose logarithm is uniform."""
     return exp(generator.uniform(log(low), log(high)))

@@ -169,7 +169,7 @@ def m7(spark, sf):
 def m8(spark, sf):
     train, test = tasks.split(tasks.coherence_table(views.posts(spark, sf)), "post_id")
     model = mx.pipeline(
-        fx.context_stages(K.COHERENCE_FEATURES), mx.gradient_boosting(rounds=20)).fit(train)
+        fx.context_stages(K.COHERENCE_FEATURES), mx.gradient_boosting()).fit(train)
     return model.transform(test).select("post_id", "label", "prediction")
 
 
@@ -187,8 +187,7 @@ def m12(spark, sf):
     df, _ = coded_tone(spark, sf)
     train, test = tasks.split(df, "post_id")
     return evaluation.compare_classifiers(
-        spark, fx.text_stages(max_features=1000), tasks.tone_models(trees=10, iterations=20),
-        train, test, "post_id", k=2)
+        spark, fx.text_stages(), tasks.tone_models(), train, test, "post_id", k=5)
 
 
 @query("m13_emotion_models")
@@ -196,8 +195,7 @@ def m13(spark, sf):
     df, _ = tasks.coded(views.posts(spark, sf), "emotion_type")
     train, test = tasks.split(df, "post_id")
     return evaluation.compare_classifiers(
-        spark, fx.text_stages(max_features=500, min_df=2), tasks.text_models(classes=5, iterations=5),
-        train, test, "post_id", k=2)
+        spark, fx.text_stages(min_df=2), tasks.text_models(classes=5), train, test, "post_id", k=3)
 
 
 @query("m14_synthetic_contrast")
@@ -247,14 +245,12 @@ def m16(spark, sf):
 @query("m17_authentic_success_models")
 def m17(spark, sf):
     df = tasks.success_table(views.posts(spark, sf))
-    train, test = tasks.split(df, "post_id", test=0.25)
     stages = fx.mixed_stages("text_content", tasks.SUCCESS_CATEGORIES, tasks.SUCCESS_NUMBERS)
-    models = tasks.weighted_models(trees=10, rounds=5, iterations=10)
-    rows = []
-    for name, (model, _) in evaluation.fit_side_by_side(stages, models, train, balance=True).items():
-        scores = metrics.macro_scores(model.transform(test), "label", "prediction").first()
-        rows.append((name, *[round(scores[c], 4) for c in (
-            "accuracy", "precision_macro", "recall_macro", "f1_macro")]))
+    folds = evaluation.fold_measures(
+        stages, tasks.weighted_models(), df, "post_id", 3, evaluation.classifier_measure, balance=True)
+    measures = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
+    rows = [(name, *[round(sum(r[c] for r in found) / len(found), 4) for c in measures])
+            for name, found in folds.items()]
     table = spark.createDataFrame(
         rows, "model string, accuracy double, precision_macro double, recall_macro double, f1_macro double")
     return metrics.best_model(table, "f1_macro")
@@ -263,7 +259,7 @@ def m17(spark, sf):
 @query("m18_coherence_models")
 def m18(spark, sf):
     df = tasks.coherence_table(views.posts(spark, sf))
-    models = tasks.weighted_models(trees=10, rounds=5, iterations=10)
+    models = tasks.weighted_models()
     folds = evaluation.fold_measures(
         fx.context_stages(K.COHERENCE_FEATURES), models, df, "post_id", 5, evaluation.classifier_measure, balance=True)
     rows = [(name, round(sum(r["f1_macro"] for r in found) / len(found), 4))
@@ -334,7 +330,7 @@ def engagement(spark, sf):
 @query("m19_m20_m21_engagement_regressors")
 def m19(spark, sf):
     return evaluation.compare_regressors(
-        spark, fx.context_stages(K.ENGAGEMENT_FEATURES), tasks.engagement_models(trees=10),
+        spark, fx.context_stages(K.ENGAGEMENT_FEATURES), tasks.engagement_models(),
         engagement(spark, sf), "post_id", k=3)
 
 
@@ -373,17 +369,22 @@ def m19b(spark, sf):
 # Tuning -----------------------------------------------------------------------------------
 
 def tuned_pipeline():
-    vectorizer = fx.text_stages(max_features=1000)[0]
-    logistic = mx.ScaledLogistic(maxIter=10)
-    return mx.pipeline([vectorizer], logistic), vectorizer, logistic
+    vectorizer = fx.text_stages()[0]
+    logistic = mx.ScaledLogistic()
+    return mx.SharedPipeline(stages=[vectorizer, logistic]), vectorizer, logistic
+
+
+def tuning_grid(vectorizer, logistic):
+    return [{logistic.C: c, vectorizer.grams: grams, vectorizer.maxFeatures: size}
+            for c in (0.1, 1.0, 10.0) for grams in (1, 2) for size in (3000, 5000)]
 
 
 @query("m23_m25_grid_search")
 def m23(spark, sf):
     df, _ = tasks.coded(views.posts(spark, sf), "sentiment_label")
     estimator, vectorizer, logistic = tuned_pipeline()
-    grid = [{logistic.C: c, vectorizer.grams: grams} for c in (0.1, 10.0) for grams in (1, 2)]
-    search = evaluation.cross_validate(estimator, df, "post_id", 2, evaluation.MacroF1(), grid)
+    grid = tuning_grid(vectorizer, logistic)
+    search = evaluation.cross_validate(estimator, df, "post_id", 5, evaluation.MacroF1(), grid)
     return evaluation.search_table(spark, search, grid)
 
 
@@ -393,13 +394,13 @@ def m24(spark, sf):
     train, test = tasks.split(df, "post_id")
     estimator, vectorizer, logistic = tuned_pipeline()
     draws = {logistic.C: lambda g: mx.log_uniform(g, 1e-2, 1e2),
-             vectorizer.maxFeatures: lambda g: g.randint(300, 800), vectorizer.grams: [1, 2]}
+             vectorizer.maxFeatures: [3000, 5000, 8000], vectorizer.grams: [1, 2]}
     searches = {
         "base": [{}],
-        "grid search": [{logistic.C: c, vectorizer.grams: grams} for c in (0.1, 10.0) for grams in (1, 2)],
-        "random search": evaluation.random_grid(draws, 3),
+        "grid search": tuning_grid(vectorizer, logistic),
+        "random search": evaluation.random_grid(draws, 15),
     }
-    return evaluation.tuning_impact(spark, estimator, searches, train, test, "post_id", 2)
+    return evaluation.tuning_impact(spark, estimator, searches, train, test, "post_id", 5)
 
 
 @query("m26_class_terms")
