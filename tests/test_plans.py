@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tonegauge.operators import joins, ordering, sampling, terms
+from tonegauge.operators import joins, metrics, ordering, sampling, terms
 from tonegauge.plans import views
 
 SF = "/root/testdata/sf0.001"
@@ -55,3 +55,8 @@ def test_no_query_has_a_cartesian_product(spark):
 def test_scan_reads_only_needed_columns(spark):
     text = plan(views.posts(spark, SF).groupBy("platform").agg(F.avg("engagement_rate")))
     assert "ReadSchema: struct<event_type:string,value:double>" in text
+
+
+def test_class_counts_do_not_meet_in_one_task(events):
+    df = events.select(F.col("user_id").cast("string").alias("label"), F.col("event_type").alias("prediction"))
+    assert "Coalesce 1" not in plan(metrics.class_scores(df, "label", "prediction"))
