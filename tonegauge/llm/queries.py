@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tonegauge.llm import (
-    decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality, toxicity, warc,
+    decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality, toxicity, vector_search, warc,
 )
 from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
@@ -122,3 +122,22 @@ FROM page p LEFT JOIN kept k ON p.body = k.body"""
 @query("op10_warc", OP10_SQL)
 def op10(spark, sf):
     return warc.archive_pages(table(spark, sf, "pages"))
+
+
+OP11_SQL = """
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+valid AS (SELECT vec_id, x FROM whole WHERE vec_id IS NOT NULL AND x IS NOT NULL
+  AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+usual AS (SELECT len(x) AS n FROM valid GROUP BY n ORDER BY count(*) DESC, n DESC LIMIT 1),
+vec AS (SELECT row_number() OVER () AS row, vec_id, list_transform(x, lambda c: floor(c * 256)) AS v
+  FROM valid JOIN usual ON len(x) = n),
+scored AS (SELECT q.row AS row, q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vec q JOIN vec c ON q.row <> c.row WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5"""
+
+
+@query("op11_vector_search", OP11_SQL)
+def op11(spark, sf):
+    """The five highest integer inner products of every fiftieth vector with all others."""
+    return vector_search.top_k(table(spark, sf, "embeddings"), k=5, every=50)
