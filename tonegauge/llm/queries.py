@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tonegauge.llm import (
-    decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality, toxicity, vector_search, warc,
+    decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality, spelling,
+    toxicity, vector_search, warc,
 )
 from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
@@ -141,3 +142,49 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 def op11(spark, sf):
     """The five highest integer inner products of every fiftieth vector with all others."""
     return vector_search.top_k(table(spark, sf, "embeddings"), k=5, every=50)
+
+
+# CRC-32 of the bytes in column ``b``, by its table of 256 remainders in ``crc_table``.
+_CRC_TABLE = """crc_table AS (SELECT list(c ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1
+    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)))"""
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, b),
+    lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])))"""
+
+
+def _bytes(text: str) -> str:
+    """SQL for the UTF-8 bytes of a string as numbers."""
+    digit = "strpos('123456789ABCDEF', hex(encode({0}))[{1}])"
+    high, low = digit.format(text, "2 * i - 1"), digit.format(text, "2 * i")
+    return f"list_transform(range(1, strlen({text}) + 1), lambda i: 16 * {high} + {low})"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+run AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents),
+low AS (SELECT concat(doc_id, ':') AS id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w,
+  count(*) AS n FROM run GROUP BY ALL),
+byte AS (SELECT w, n, {_bytes('(id || w)')} AS b FROM low WHERE length(w) >= 6),
+hashed AS (SELECT w, n, {_CRC} AS h FROM byte, crc_table),
+word AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 199 = 0
+    THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gap AS (SELECT word, n, i, word[1:i - 1] AS head, word[i + 1:] AS tail
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM word)),
+pair AS (SELECT x.word AS a, x.n AS an, y.word AS b, y.n AS bn FROM gap x JOIN gap y
+    ON x.i = y.i AND x.head = y.head AND x.tail = y.tail AND x.word < y.word
+  UNION SELECT g.word, g.n, w.word, w.n FROM gap g JOIN word w ON w.word = g.head || g.tail),
+side AS (SELECT a AS word, b AS other, bn AS other_n FROM pair UNION SELECT b, a, an FROM pair),
+near AS (SELECT word, count(*) AS n_near, min(struct_pack(less := -other_n, form := other)) AS best FROM side GROUP BY word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 5 * n THEN best.form END AS form,
+  CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n FROM word LEFT JOIN near USING (word)),
+step(word, place) AS (SELECT word, word FROM formed
+  UNION ALL SELECT s.word, f.form FROM step s JOIN formed f ON s.place = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, s.place AS root, f.n, f.n_near, f.form_n FROM formed f JOIN step s USING (word)
+  JOIN formed l ON l.word = s.place WHERE l.form IS NULL"""
+
+
+@query("op13_spelling_groups", OP13_SQL)
+def op13(spark, sf):
+    """Words of all documents with their near words' number, the form they vary and its root."""
+    return spelling.group_spellings(table(spark, sf, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
