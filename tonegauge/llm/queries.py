@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from tonegauge.llm import (
-    decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality, spelling,
-    toxicity, vector_search, warc,
+    conversations, decontamination, huffman, language_model, ngram_join, packing, passages, pii, quality,
+    spelling, toxicity, vector_search, warc,
 )
 from tonegauge.llm.common import scratch, table
 from tonegauge.plans.registry import query
@@ -188,3 +188,78 @@ SELECT f.word, f.form, s.place AS root, f.n, f.n_near, f.form_n FROM formed f JO
 def op13(spark, sf):
     """Words of all documents with their near words' number, the form they vary and its root."""
     return spelling.group_spellings(table(spark, sf, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+# Edits of a row by state (nothing, s, u, a): the least (cost, audit, text) that reaches each state, row by row.
+def _option(state: int, letter: str, cost: str, body: str) -> str:
+    take = f"struct_pack(cost := best[{state}].cost + {cost}, audit := best[{state}].audit || '{letter}', body := best[{state}].body || {body})"
+    return f"CASE WHEN best[{state}] IS NULL THEN [] ELSE [{take}] END"
+
+
+def _when(test: str, options: str) -> str:
+    return f"CASE WHEN {test} THEN {options} ELSE [] END"
+
+
+def _least(*options: str) -> str:
+    """The least of lists of options, by cost and then audit; null if there are none."""
+    return f"list_sort({' || '.join(options)})[1]"
+
+
+def _closed(best: str) -> str:
+    """Adds insertions; two in a row never pay to come back."""
+    user = lambda b, s: f"CASE WHEN {b}[{s}] IS NULL THEN [] ELSE [struct_pack(cost := {b}[{s}].cost + 3, audit := {b}[{s}].audit || 'I', body := {b}[{s}].body || ['user:'])] END"
+    both = lambda b, s: f"CASE WHEN {b}[{s}] IS NULL THEN [] ELSE [struct_pack(cost := {b}[{s}].cost + 6, audit := {b}[{s}].audit || 'II', body := {b}[{s}].body || ['user:', 'assistant:'])] END"
+    last = lambda b, s: f"CASE WHEN {b}[{s}] IS NULL THEN [] ELSE [struct_pack(cost := {b}[{s}].cost + 3, audit := {b}[{s}].audit || 'I', body := {b}[{s}].body || ['assistant:'])] END"
+    own = lambda b, s: f"CASE WHEN {b}[{s}] IS NULL THEN [] ELSE [{b}[{s}]] END"
+    return (f"[{best}[1], {best}[2], {_least(own(best, 3), user(best, 1), user(best, 2), user(best, 4))}, "
+            f"{_least(own(best, 4), both(best, 1), both(best, 2), last(best, 3))}]")
+
+
+def _row_step() -> str:
+    kept, added = "fault NOT IN ('blank', 'duplicate')", "CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END"
+    keep = lambda state, role: _when(f"{kept} AND role[1:1] = '{role}'", _option(state, "K", added, "[role || ':' || text]"))
+    rerole = lambda state, name: _when(kept, _option(state, "R", f"{added} + 3", f"['{name}:' || text]"))
+    drop = lambda state: _option(state, "D", "4", "[]::VARCHAR[]")
+    to_user = [x for state in (1, 2, 4) for x in (keep(state, "u"), rerole(state, "user"))]
+    return (f"[{drop(1)}[1], {_least(drop(2), keep(1, 's'))}, {_least(drop(3), *to_user)}, "
+            f"{_least(drop(4), keep(3, 'a'), rerole(3, 'assistant'))}]")
+
+
+OP12_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE},
+part AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS place FROM conversations),
+byte AS (SELECT * EXCLUDE (place), {_bytes('place')} AS b FROM part),
+hashed AS (SELECT conv_id, turn, role, text, {_CRC} % 20 AS h FROM byte, crc_table),
+damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN ''
+  WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM hashed, range(CASE h WHEN 3 THEN 2 ELSE 1 END)
+  WHERE h <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS again,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM numbered),
+faulty AS (SELECT conv_id, turn, role, text, i, CASE WHEN body = '' THEN 'blank' WHEN again > 1 THEN 'duplicate'
+  WHEN body[-1:] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS meets FROM placed),
+conv AS (SELECT DISTINCT conv_id FROM conversations),
+counted AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (meets IS NOT NULL AND meets NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id),
+step(conv_id, i, best) AS (
+  SELECT conv_id, 0::BIGINT, [struct_pack(cost := 0, audit := '', body := []::VARCHAR[]), NULL, NULL, NULL] FROM conv
+  UNION ALL SELECT conv_id, i, {_row_step()} FROM (
+    SELECT s.conv_id, f.i, f.role, f.text, f.fault, {_closed('s.best')} AS best
+    FROM step s JOIN faulty f ON s.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = s.i + 1)),
+last AS (SELECT conv_id, {_closed('best')} AS best, i FROM step),
+done AS (SELECT l.conv_id, gaps, blank, duplicate, truncated, illegal,
+  list_sort(CASE WHEN best[1] IS NULL THEN [best[4]] WHEN best[4] IS NULL THEN [best[1]] ELSE [best[1], best[4]] END)[1] AS r
+  FROM last l LEFT JOIN counted c ON l.conv_id IS NOT DISTINCT FROM c.conv_id WHERE l.i = coalesce(n, 0))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, r.cost::BIGINT AS cost, r.audit AS audit,
+  sha256(array_to_string(r.body, chr(10))) AS repaired_sha256 FROM done"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12(spark, sf):
+    """Faults of every damaged conversation, its cheapest repair and a digest of the repaired rows."""
+    return conversations.damage_and_repair(table(spark, sf, "conversations"))
