@@ -55,26 +55,29 @@ def vocabulary(words: DataFrame, shortest: int = SHORTEST, least: int = LEAST) -
 def signed(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """(signature, word, n, size): a row for each choice of all but MOVED parts."""
     sets = [sum(1 << p for p in chosen) for chosen in combinations(range(parts), parts - MOVED)]
-    letters = words.select("word", "n", F.array_sort(F.split("word", "")).alias("c"))
+    letters = words.select("word", F.sort_array(F.split("word", F.lit(""))).alias("c"))
     # Sorted, so a letter's place after the first of its kind is its occurrence.
     part = lambda c, i: F.pmod(F.xxhash64(c, i - F.array_position("c", c)), F.lit(parts)).cast("int")
     bit = F.transform("c", lambda c, i: F.named_struct(
         F.lit("c"), c, F.lit("bit"), F.call_function("shiftleft", F.lit(1), part(c, i))))
-    dealt = letters.select("word", "n", bit.alias("d"), F.explode(F.array(*map(F.lit, sets))).alias("set"))
+    dealt = letters.select("word", bit.alias("d"), F.explode(F.array(*map(F.lit, sets))).alias("set"))
     kept = F.array_join(F.transform(
         F.filter("d", lambda x: x["bit"].bitwiseAND(F.col("set")) != 0), lambda x: x["c"]), "")
-    return dealt.select(F.xxhash64("set", kept).alias("signature"), "word", "n", F.length("word").alias("size"))
+    return dealt.select(F.xxhash64("set", kept).alias("signature"), "word")
 
 
 def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """(word, n, other, other_n), each pair once: exactly one inserted, deleted or replaced code point."""
-    left = signed(words, parts)
-    right = left.select("signature", *[F.col(c).alias(f"other_{c}") for c in ("word", "n", "size")])
-    meets = ((F.col("word") < F.col("other_word")) & (F.abs(F.col("size") - F.col("other_size")) < MOVED)
-             & (F.levenshtein("word", "other_word", 1) == 1))
+    rows = signed(words, parts)
+    x, y = rows.alias("x"), rows.alias("y")
+    meets = ((F.col("x.word") < F.col("y.word"))
+             & (F.abs(F.length("x.word") - F.length("y.word")) < MOVED)
+             & (F.levenshtein("x.word", "y.word", 1) == 1))
     # A pair may share several signatures.
-    return left.join(right, "signature").where(meets).groupBy("word", F.col("other_word").alias("other")).agg(
-        F.first("n").alias("n"), F.first("other_n").alias("other_n"))
+    pairs = x.join(y, F.col("x.signature") == F.col("y.signature")).where(meets).select(
+        F.col("x.word").alias("word"), F.col("y.word").alias("other")).distinct()
+    count = words.select("word", "n")
+    return pairs.join(count, "word").join(count.toDF("other", "other_n"), "other")
 
 
 def forms(words: DataFrame, pairs: DataFrame, ratio: int = RATIO) -> DataFrame:
@@ -107,5 +110,5 @@ def roots(found: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFrame
 def group_spellings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(word, n, n_near, form, form_n, root) of every word of SHORTEST letters that occurs LEAST times."""
     words = written(vocabulary(damaged_words(docs, key, text)), "words")
-    found = written(forms(words, near_pairs(words)), "forms")
+    found = written(forms(words, written(near_pairs(words), "pairs")), "forms")
     return roots(found)
