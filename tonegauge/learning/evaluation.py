@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonegauge.constants import SEED
+from tonegauge.learning import search
 from tonegauge.operators.metrics import macro_scores, regression_scores
 from tonegauge.operators.quality import split_valid
 from tonegauge.operators.sampling import balanced_weights
@@ -40,7 +41,13 @@ def cross_validate(
     estimator: Estimator, train: DataFrame, key: str, k: int, evaluator: Evaluator,
     grid: list[dict] | None = None, stratify: str | None = "label", parallelism: int = 4,
 ):
-    """Cross-validation on repeatable, stratified folds."""
+    """Cross-validation on repeatable, stratified folds.
+
+    Candidates of a text vectoriser with a linear classifier are fitted together (``search``).
+    """
+    batch = search.batch(estimator, grid or [{}])
+    if batch and isinstance(evaluator, MacroF1) and evaluator.measure == "f1_macro" and stratify in (None, "label"):
+        return search.cross_validated(estimator, train, key, k, grid or [{}], batch, stratify)
     folded = fold_column(train, key, k, stratify)
     return CrossValidator(
         estimator=estimator, estimatorParamMaps=grid or [{}], evaluator=evaluator, numFolds=k,
@@ -135,10 +142,10 @@ def compare_regressors(
     return spark.createDataFrame(rows, "model string, rmse double, r2 double").orderBy("rmse", "model")
 
 
-def search_table(spark: SparkSession, search, grid: list[dict]) -> DataFrame:
+def search_table(spark: SparkSession, found, grid: list[dict]) -> DataFrame:
     """One row per candidate with its settings, best first."""
     rows = []
-    for settings, mean, std in zip(grid, search.avgMetrics, search.stdMetrics):
+    for settings, mean, std in zip(grid, found.avgMetrics, found.stdMetrics):
         text = ", ".join(sorted(f"{p.name}={v}" for p, v in settings.items()))
         rows.append((text, round(float(mean), 4), round(float(std), 4)))
     return spark.createDataFrame(
@@ -152,11 +159,13 @@ def tuning_impact(
 ) -> DataFrame:
     """Per method the best candidate's cross-validated macro-F1, its macro-F1 on the held-out
     test rows after a refit on all training rows, and the change of that against the first method."""
-    rows = []
+    every = [settings for grid in searches.values() for settings in grid]
+    means, rows, at = cross_validate(estimator, train, key, k, MacroF1(), every).avgMetrics, [], 0
     for name, grid in searches.items():
-        search = cross_validate(estimator, train, key, k, MacroF1(), grid)
-        f1 = MacroF1().evaluate(search.bestModel.transform(test))
-        rows.append((name, round(float(max(search.avgMetrics)), 4), round(f1, 4),
+        own = list(means[at:at + len(grid)])
+        at += len(grid)
+        f1 = MacroF1().evaluate(estimator.fit(train, grid[own.index(max(own))]).transform(test))
+        rows.append((name, round(float(max(own)), 4), round(f1, 4),
                      round(f1 - (rows[0][2] if rows else f1), 4)))
     return spark.createDataFrame(rows, "method string, cv_f1_mean double, test_f1_macro double, delta double")
 

@@ -51,13 +51,17 @@ class TextVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset):
-        name, out = self.getInputCol(), self.getOutputCol()
-        grams = self.getOrDefault(self.grams)
+        name, grams = self.getInputCol(), self.getOrDefault(self.grams)
         stop = StopWordsRemover.loadDefaultStopWords("english") if self.getOrDefault(self.stopwords) else None
         found = corpus_vocabulary(
             dataset, name, grams, self.getOrDefault(self.maxFeatures), self.getOrDefault(self.minDf), stop,
         ).collect()
-        n = dataset.count()
+        return self.fitted([(r["term"], r["df"]) for r in found], dataset.count())
+
+    def fitted(self, found: list[tuple[str, int]], n: int) -> PipelineModel:
+        """The stages for terms with their document counts, in order, among n documents."""
+        name, out, grams = self.getInputCol(), self.getOutputCol(), self.getOrDefault(self.grams)
+        stop = StopWordsRemover.loadDefaultStopWords("english") if self.getOrDefault(self.stopwords) else None
         words, listed, counted, weighted = (f"_{out}_{part}" for part in ("words", "grams", "counts", "weights"))
         stages = [RegexTokenizer(
             inputCol=name, outputCol=words, gaps=False, pattern=TOKEN, toLowercase=True)]
@@ -69,9 +73,9 @@ class TextVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable
             stages += [NGram(n=2, inputCol=words, outputCol=pairs), SQLTransformer(
                 statement=f"SELECT *, concat({words}, {pairs}) AS {listed} FROM __THIS__")]
             words = listed
-        idf = [math.log((1 + n) / (1 + r["df"])) + 1 for r in found]
+        idf = [math.log((1 + n) / (1 + df)) + 1 for _, df in found]
         stages += [
-            CountVectorizerModel.from_vocabulary([r["term"] for r in found], words, counted),
+            CountVectorizerModel.from_vocabulary([term for term, _ in found], words, counted),
             ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol=counted, outputCol=weighted),
             Normalizer(inputCol=weighted, outputCol=out, p=2.0),
         ]

@@ -4,100 +4,149 @@ import random
 from collections import Counter
 from math import exp, log
 from threading import Lock
+from uuid import uuid4
 
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.base import _FitMultipleIterator
 from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier,
+    GBTClassifier, LinearSVCModel, LogisticRegressionModel, NaiveBayes, OneVsRestModel, RandomForestClassifier,
 )
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.linalg import DenseMatrix, Vector, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.wrapper import JavaParams
 from pyspark.sql import functions as F
 
 from tonegauge.constants import SEED
+from tonegauge.learning import linear
 
 
 class _Scaled(Estimator, HasFeaturesCol, HasLabelCol, HasMaxIter, DefaultParamsReadable,
               DefaultParamsWritable):
-    """Base for estimators whose penalty is given per data set, not per row."""
+    """Base for estimators whose penalty is given per data set, not per row.
 
+    ``maxIter`` bounds the passes over the rows, of which an iteration needs one or a few.
+    """
+
+    C = Param(Params._dummy(), "C", "inverse penalty", TypeConverters.toFloat)
     weight = Param(Params._dummy(), "weight", "weight column, '' for none", TypeConverters.toString)
+    tol = Param(Params._dummy(), "tol", "largest entry of the mean gradient at the end", TypeConverters.toFloat)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(featuresCol="features", labelCol="label", maxIter=1000, weight="")
-
-    def _rows(self, dataset) -> float:
-        column = self.getOrDefault(self.weight)
-        size = F.sum(column) if column else F.count(F.lit(1)).cast("double")
-        return float(dataset.agg(size).first()[0] or 1.0)
+        self._setDefault(featuresCol="features", labelCol="label", maxIter=1000, weight="", C=1.0,
+                         tol=linear.TOLERANCE)
 
-    def _fit_cached(self, estimator, dataset):
-        """Fit on the needed columns, computed once for all iterations."""
-        needed = dataset.select(*self._columns().values()).persist()
+    def _solved(self, dataset, loss: linear.Loss, many: list[float]) -> tuple[list[linear.Fit], int]:
+        """A fit for each C, all in the same passes, and the number of classes."""
+        rows = linear.blocks(dataset, self.getFeaturesCol(), self.getLabelCol(), self.getOrDefault(self.weight))
         try:
-            return estimator(self._rows(needed)).fit(needed)
+            stats = linear.describe(rows)
+            fits = linear.solve(rows, [linear.Problem(0, c) for c in many], loss, self.getOrDefault(self.tol),
+                                self.getMaxIter(), stats)
+            return fits, max(stats[0].classes, 2)
         finally:
-            needed.unpersist()
+            rows.unpersist()
 
-    def _columns(self) -> dict:
-        column = self.getOrDefault(self.weight)
-        columns = {"featuresCol": self.getFeaturesCol(), "labelCol": self.getLabelCol()}
-        return columns | ({"weightCol": column} if column else {})
+    def _fit(self, dataset):
+        return self._fit_many(dataset, [self.getOrDefault(self.C)])[0]
 
 
-class ScaledLogistic(_Scaled):
-    """M5: loss summed over rows times C plus half the squared norm.
+class _ByC:
+    """Candidates that differ in C alone are fitted together."""
 
-    Spark averages the loss, so its ``regParam`` is 1 / (C n).  The intercept is free
-    and features are used as they are.
-    """
+    def fitMultiple(self, dataset, paramMaps):
+        if any({p.name for p in settings} - {"C"} for settings in paramMaps):
+            return super().fitMultiple(dataset, paramMaps)
+        many = [next(iter(settings.values()), self.getOrDefault(self.C)) for settings in paramMaps]
+        return iter(enumerate(self._fit_many(dataset, many)))
 
-    C = Param(Params._dummy(), "C", "inverse penalty", TypeConverters.toFloat)
+
+def _java(kind: str, *parts):
+    """A fitted model of Spark's own kind, which scores and saves like any other."""
+    context = SparkContext._active_spark_context
+    return JavaParams._new_java_obj(f"org.apache.spark.ml.{kind}", *(
+        _py2java(context, p) if isinstance(p, (Vector, DenseMatrix)) else p for p in parts))
+
+
+def logistic_model(fit: linear.Fit, classes: int, features: str = "features") -> LogisticRegressionModel:
+    k, d = fit.weights.shape
+    java = _java("classification.LogisticRegressionModel", f"logistic_{uuid4().hex[:12]}",
+                 DenseMatrix(k, d, fit.weights.ravel(), True), Vectors.dense(fit.intercept), classes, k > 1)
+    return LogisticRegressionModel(java).setFeaturesCol(features)
+
+
+def svc_model(fit: linear.Fit, classes: int, features: str = "features") -> LinearSVCModel | OneVsRestModel:
+    parts = [LinearSVCModel(_java("classification.LinearSVCModel", f"svc_{uuid4().hex[:12]}", Vectors.dense(w), float(b))
+                            ).setFeaturesCol(features) for w, b in zip(fit.weights, fit.intercept)]
+    if classes == 2:
+        return parts[0]
+    return OneVsRestModel(parts).setFeaturesCol(features).setPredictionCol("prediction").setRawPredictionCol("rawPrediction")
+
+
+class ScaledLogistic(_ByC, _Scaled):
+    """M5: loss summed over rows times C plus half the squared norm, with a free intercept.
+
+    Features are used as they are; the solver conditions the problem itself.
+    """
 
     @keyword_only
-    def __init__(self, C=1.0, maxIter=1000, labelCol="label", featuresCol="features", weight=""):
+    def __init__(self, C=1.0, maxIter=1000, labelCol="label", featuresCol="features", weight="",
+                 tol=linear.TOLERANCE):
         super().__init__()
-        self._setDefault(C=1.0)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset):
-        return self._fit_cached(lambda rows: LogisticRegression(
-            regParam=1.0 / (self.getOrDefault(self.C) * rows), elasticNetParam=0.0,
-            standardization=False, maxIter=self.getMaxIter(), tol=1e-4, **self._columns()), dataset)
+    def _fit_many(self, dataset, many):
+        fits, classes = self._solved(dataset, linear.LOGISTIC, many)
+        return [logistic_model(fit, classes, self.getFeaturesCol()) for fit in fits]
 
 
-class ScaledLinearSvc(_Scaled):
-    """M9: linear SVM, one against the rest beyond two classes (hinge loss)."""
+class ScaledLinearSvc(_ByC, _Scaled):
+    """M9: linear SVM with the squared hinge loss, one against the rest beyond two classes.
 
-    C = Param(Params._dummy(), "C", "inverse penalty", TypeConverters.toFloat)
-    classes = Param(Params._dummy(), "classes", "number of classes", TypeConverters.toInt)
+    The intercept is penalised like a weight.
+    """
 
     @keyword_only
-    def __init__(self, C=1.0, maxIter=100, classes=2, labelCol="label", featuresCol="features", weight=""):
+    def __init__(self, C=1.0, maxIter=1000, labelCol="label", featuresCol="features", weight="",
+                 tol=linear.TOLERANCE):
         super().__init__()
-        self._setDefault(C=1.0, classes=2)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset):
-        columns = self._columns()
+    def _fit_many(self, dataset, many):
+        fits, classes = self._solved(dataset, linear.SQUARED_HINGE, many)
+        return [svc_model(fit, classes, self.getFeaturesCol()) for fit in fits]
+
 
-        def estimator(rows: float):
-            svc = LinearSVC(
-                regParam=1.0 / (self.getOrDefault(self.C) * rows), standardization=False,
-                maxIter=self.getMaxIter(), tol=1e-4, **columns)
-            if self.getOrDefault(self.classes) <= 2:
-                return svc
-            return OneVsRest(classifier=svc, parallelism=4, **columns)
+class ScaledLinearSvr(_ByC, _Scaled):
+    """Absolute errors beyond ``epsilon``, summed over rows times C, plus half the squared norm.
+
+    The intercept is penalised like a weight. The loss has corners; they are rounded over a
+    width that shrinks to 1e-4, so the result costs at most C x rows x 5e-5 more than the optimum.
+    """
+
+    epsilon = Param(Params._dummy(), "epsilon", "errors up to this are free", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, C=1.0, epsilon=0.0, maxIter=1000, labelCol="label", featuresCol="features", weight="",
+                 tol=linear.TOLERANCE):
+        super().__init__()
+        self._setDefault(epsilon=0.0)
+        self._set(**self._input_kwargs)
 
-        return self._fit_cached(estimator, dataset)
+    def _fit_many(self, dataset, many):
+        fits, _ = self._solved(dataset, linear.epsilon_insensitive(self.getOrDefault(self.epsilon)), many)
+        return [LinearRegressionModel(_java(
+            "regression.LinearRegressionModel", f"svr_{uuid4().hex[:12]}", Vectors.dense(fit.weights[0]),
+            float(fit.intercept[0]))).setFeaturesCol(self.getFeaturesCol()) for fit in fits]
 
 
-class ScaledRidge(_Scaled):
+class ScaledRidge(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
     """Squared error summed over rows plus alpha times the squared norm.
 
     Spark halves and averages the error and scales the label by its standard
@@ -109,7 +158,7 @@ class ScaledRidge(_Scaled):
     @keyword_only
     def __init__(self, alpha=1.0, labelCol="label", featuresCol="features"):
         super().__init__()
-        self._setDefault(alpha=1.0)
+        self._setDefault(alpha=1.0, labelCol="label", featuresCol="features")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset):
@@ -118,7 +167,7 @@ class ScaledRidge(_Scaled):
         penalty = self.getOrDefault(self.alpha) * (std or 1.0) / max(n, 1)
         return LinearRegression(
             regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal",
-            **self._columns()).fit(dataset)
+            featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol()).fit(dataset)
 
 
 def lasso(alpha: float = 0.001, **columns) -> LinearRegression:

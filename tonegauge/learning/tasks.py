@@ -26,12 +26,12 @@ def split(df: DataFrame, key: str, label: str = "label", test: float = 0.2) -> t
     return marked.where("NOT is_test"), marked.where("is_test")
 
 
-def text_models(classes: int, iterations: int = 100) -> dict[str, Estimator]:
+def text_models(iterations: int = 100) -> dict[str, Estimator]:
     """Logistic regression, naive Bayes and linear SVM."""
     return {
         "logistic": mx.ScaledLogistic(maxIter=iterations),
         "naive_bayes": mx.naive_bayes(),
-        "linear_svc": mx.ScaledLinearSvc(classes=classes, maxIter=iterations),
+        "linear_svc": mx.ScaledLinearSvc(maxIter=iterations),
     }
 
 
@@ -59,6 +59,7 @@ def engagement_models(trees: int = 40) -> dict[str, Estimator]:
     return {
         "ridge": mx.ScaledRidge(),
         "lasso": mx.lasso(),
+        "linear_svr": mx.ScaledLinearSvr(),
         "robust_linear": mx.robust_linear(),
         "random_forest": mx.forest_regressor(trees=trees),
     }

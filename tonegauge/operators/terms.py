@@ -112,6 +112,35 @@ def _with_grams(df: DataFrame, keep: list[str], name: str, grams: int, stopwords
     return listed.select(*keep, found.alias("_grams"))
 
 
+def _counted(listing: str) -> Column:
+    """A text's terms with count 1, and each distinct one once more as a document."""
+    def rows(terms: Column, total: int, documents: int) -> Column:
+        return F.transform(terms, lambda t: F.struct(
+            t.alias("term"), F.lit(total).alias("total"), F.lit(documents).alias("df")))
+
+    return F.concat(rows(F.col(listing), 1, 0), rows(F.array_distinct(listing), 0, 1))
+
+
+def fold_vocabularies(
+    df: DataFrame, name: str, folds: list[int], grams: list[int], max_features: int, min_df: int = 1,
+    fold: str = "fold",
+) -> DataFrame:
+    """(part, grams, term, df, rank): the vocabulary of all rows but each fold's, for each gram setting.
+
+    The texts are counted once, by fold; what the parts add up is counts.
+    """
+    listed = _with_grams(df, [fold], name, max(grams), None)
+    counts = listed.select(fold, F.inline(_counted("_grams"))).groupBy(fold, "term").agg(
+        F.sum("total").alias("total"), F.sum("df").alias("df"))
+    parts = counts.withColumn("part", F.explode(F.array(*map(F.lit, folds)))).where(F.col(fold) != F.col("part"))
+    terms = parts.groupBy("part", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+    named = terms.where(F.col("df") >= min_df).withColumn("grams", F.explode(F.array(*map(F.lit, grams)))).where(
+        (F.col("grams") > 1) | ~F.col("term").contains(" "))
+    order = Window.partitionBy("part", "grams").orderBy(F.col("total").desc(), "term")
+    return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_features).select(
+        "part", "grams", "term", "df", "rank")
+
+
 def corpus_vocabulary(
     df: DataFrame, name: str, grams: int = 1, max_features: int | None = 5000,
     min_df: int = 1, stopwords: list[str] | None = None,
@@ -121,13 +150,8 @@ def corpus_vocabulary(
     A document lists its terms and, once each, its distinct terms, so both counts
     combine on the map side and only the vocabulary is shuffled, not the texts.
     """
-    def counted(listing: Column, total: int, documents: int) -> Column:
-        return F.transform(listing, lambda t: F.struct(
-            t.alias("term"), F.lit(total).alias("total"), F.lit(documents).alias("df")))
-
     listed = _with_grams(df, [], name, grams, stopwords)
-    rows = listed.select(F.inline(F.concat(
-        counted(F.col("_grams"), 1, 0), counted(F.array_distinct("_grams"), 0, 1))))
+    rows = listed.select(F.inline(_counted("_grams")))
     terms = rows.groupBy("term").agg(
         F.sum("total").alias("total"), F.sum("df").alias("df")).where(F.col("df") >= min_df)
     return terms.orderBy(F.col("total").desc(), "term").limit(max_features) if max_features else terms
