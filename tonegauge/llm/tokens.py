@@ -1,7 +1,9 @@
 """Token ids of texts by a public tokenizer, whose file is a parameter."""
 
 import gc
+import json
 import os
+import unicodedata
 
 import numpy as np
 
@@ -13,6 +15,8 @@ MARK = "\ue0f7"
 TAIL = b".,;:!?"
 #: Texts whose new chunks are encoded together.
 GROUP = 128
+#: The splitting pattern that makes chunks independent: letters, single digits, runs of other marks.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -22,6 +26,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _letters(core: str) -> bool:
+    """Letters only, also as the tokenizer sees them: some letters come apart into a letter and a mark."""
+    form = unicodedata.normalize("NFC", core)
+    return form.isalpha() and form.lower().isalpha()
+
+
 class Known(dict):
     """Ids by chunk; a chunk asked for the first time is new and gets a buffer to be filled."""
 
@@ -36,14 +46,26 @@ class Known(dict):
         return held
 
 
+def parts_at_space(tokenizer) -> bool:
+    """Whether a tokenizer composes (NFC), lower-cases and drops white space, and then splits by WORDS."""
+    spec = json.loads(tokenizer.to_str())
+    normal, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    steps = [(n["type"], n.get("content")) for n in normal.get("normalizers", ())]
+    first = (split.get("pretokenizers") or [{}])[0]
+    return (steps == [("NFC", None), ("Replace", " "), ("Lowercase", None)] and first.get("type") == "Split"
+            and first["pattern"] == {"Regex": WORDS} and first["behavior"] == "Removed" and first["invert"])
+
+
 class Encoder:
-    """Encodes white-space-separated chunks once each; no token of this kind spans white space."""
+    """Encodes white-space-separated chunks once each, if no token of its kind spans white space
+    and letters part from the marks behind them; whole texts with any other tokenizer."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.parted = parts_at_space(self.tokenizer)
         self.known = Known()
         self.mark = self._encode([MARK])[0]
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
@@ -63,7 +85,7 @@ class Encoder:
             core, tail, kind = chunk.rstrip(TAIL), b"", letters
             if core.isalpha():  # of bytes: ASCII letters only
                 tail, core = chunk[len(core):], core.lower()
-            elif core and core.decode().isalpha() and core.decode().lower().isalpha():
+            elif core and _letters(core.decode()):
                 tail = chunk[len(core):]
             else:
                 core, kind = chunk, others
@@ -115,6 +137,11 @@ class Encoder:
         """Ids of whole UTF-8 texts as unsigned 32-bit integers, each then ``end``; a null text is empty."""
         last = b"" if end is None else int(end).to_bytes(4, "little")
         out = []
+        if not self.parted:
+            for at in range(0, len(texts), GROUP):
+                found = self._encode([(t or b"").decode() for t in texts[at:at + GROUP]])
+                out += [np.frombuffer(x.tobytes() + last, "<u4") for x in found]
+            return out
         gc.disable()  # nothing here makes cycles, and a collection would walk all that is known
         try:
             for at in range(0, len(texts), GROUP):
