@@ -6,15 +6,16 @@
    compared with a few leaders, which joins the members of large groups by few links.
 3. Trees: groups that still hold more than one component get a signature tree. Nodes hold
    OR-combined bitmaps and size ranges; a dual traversal drops node pairs that are one
-   component or whose largest possible overlap is too small. What is left is compared.
+   component or whose largest possible overlap is too small. A pair is left to the smallest
+   shared shingle that both classes know of, so that it isn't found again at each one. A
+   large group is cut into blocks by size and hash, and pairs of blocks that sizes allow are
+   cells of their own. What is left is compared.
 
 Pairs are first bounded by bitmaps as wide as their sets are large; those that may link
 are compared by their whole shingle sets. Nothing is dropped: leaders only spare work, and
 the last step covers every pair of different components that shares a prefix shingle.
 """
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,14 +31,20 @@ BITS = 1024
 ORDER_SHARE, COMMON_FROM, COMMON_MOST = 1 / 8, 4, 500_000
 #: Bits of the fixed-size filter of classes whose sets are wanted.
 FILTER_BITS = 1 << 26
-ROUNDS, LEADERS = 4, 2
+ROUNDS, LEADERS = 2, 2
 LEAF, FANOUT = 32, 8
+#: Most rows of a block of a large group; smaller groups are one cell.
+BLOCK = 8192
+#: A class tells others this many of its smallest shared keys.
+FIRSTS, NO_KEY = 16, (1 << 63) - 1
+#: Bytes of bitmaps, sets or keys after which a task sends on what it has.
+SEND_BYTES = 8 << 20
 
 
 class WordHashes(dict):
     """64-bit hashes of words; a worker remembers at most ``most`` of them."""
 
-    most = 500_000
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
@@ -108,29 +115,40 @@ def links(overlap, sizes, percent: int = PERCENT):
 
 
 class SignatureTree:
-    """A packed tree over classes, sorted by component and size so that nodes are alike."""
+    """A packed tree over classes, sorted by side, component and size so that nodes are alike.
+
+    With two sides only pairs across them count. ``firsts`` holds the smallest keys of each class:
+    a pair that shares one below ``key`` is left to that key.
+    """
 
-    def __init__(self, ids, sizes, labels, maps):
-        order = np.lexsort((ids, sizes, labels))
-        self.ids, self.sizes, self.labels = ids[order], sizes[order], labels[order]
-        self.maps = maps[order]
+    def __init__(self, ids, sizes, labels, maps, sides=None, firsts=None, key=None):
+        sides = np.zeros(len(ids), np.int8) if sides is None else sides
+        order = np.lexsort((ids, sizes, labels, sides))
+        self.ids, self.sizes, self.labels, self.sides = ids[order], sizes[order], labels[order], sides[order]
+        self.maps = np.ascontiguousarray(maps[order]).view(np.uint64)
+        self.firsts, self.key = None if firsts is None else firsts[order], key
+        self.across = bool(len(ids)) and self.sides[0] != self.sides[-1]
         slack = self.sizes - np.bitwise_count(self.maps).sum(1)
         n = len(order)
         cuts = np.arange(0, n, LEAF)
         level = [np.minimum.reduceat(self.sizes, cuts), np.maximum.reduceat(self.sizes, cuts),
                  np.minimum.reduceat(self.labels, cuts), np.maximum.reduceat(self.labels, cuts),
-                 np.maximum.reduceat(slack, cuts), np.bitwise_or.reduceat(self.maps, cuts)]
+                 np.maximum.reduceat(slack, cuts), np.bitwise_or.reduceat(self.maps, cuts),
+                 np.minimum.reduceat(self.sides, cuts), np.maximum.reduceat(self.sides, cuts)]
         self.levels = [level]
         while len(level[0]) > 1:
             cuts = np.arange(0, len(level[0]), FANOUT)
-            tools = (np.minimum, np.maximum, np.minimum, np.maximum, np.maximum, np.bitwise_or)
+            tools = (np.minimum, np.maximum, np.minimum, np.maximum, np.maximum, np.bitwise_or,
+                     np.minimum, np.maximum)
             level = [tool.reduceat(values, cuts) for tool, values in zip(tools, level)]
             self.levels.append(level)
 
     def _may_link(self, level: int, a: int, b: int, percent: int) -> bool:
-        low, high, first, last, slack, maps = self.levels[level]
+        low, high, first, last, slack, maps, near, far = self.levels[level]
         if first[a] == last[a] == first[b] == last[b]:
             return False  # one component already
+        if self.across and near[a] == far[a] == near[b] == far[b]:
+            return False  # one side
         if 100 * high[a] < percent * low[b] or 100 * high[b] < percent * low[a]:
             return False
         shared = int(np.bitwise_count(maps[a] & maps[b]).sum())
@@ -159,10 +177,17 @@ class SignatureTree:
         n, m = self.sizes[x][:, None], self.sizes[y][None]
         overlap = np.minimum(n - np.bitwise_count(here & ~there).sum(2), m - np.bitwise_count(there & ~here).sum(2))
         fits = links(overlap, n + m, percent) & (self.labels[x][:, None] != self.labels[y][None])
+        if self.across:
+            fits &= self.sides[x][:, None] != self.sides[y][None]
         if a == b:
             fits &= np.triu(np.ones(fits.shape, bool), 1)
         i, j = np.nonzero(fits)
-        yield from zip((i + a * LEAF).tolist(), (j + b * LEAF).tolist())
+        i, j = i + a * LEAF, j + b * LEAF
+        if self.firsts is not None and len(i):
+            p, q = self.firsts[i], self.firsts[j]
+            seen = ((p[:, :, None] == q[:, None, :]) & (p < self.key)[:, :, None]).any((1, 2))
+            i, j = i[~seen], j[~seen]
+        yield from zip(i.tolist(), j.tolist())
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
@@ -187,19 +212,30 @@ def _common(source: DataFrame, words: int) -> np.ndarray:
 def _announced(source: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
     """(key, class_id) of every class's prefix; copies within a task announce once."""
     def run(batches):
-        done = set()
+        done, keys, owners = set(), [], []
+
+        def sent():
+            rows = pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], names=["key", "class_id"])
+            keys.clear()
+            owners.clear()
+            return rows
+
+        size = 0
         for batch in batches:
-            keys, owners = [], []
-            for text in batch.column("text").to_pylist():
-                found = shingles(text, words)
+            for text in batch.column("text"):
+                found = shingles(text.as_py(), words)
                 own = class_of(found)
                 if len(found) and own not in done:
                     done.add(own)
                     keys.append(prefix(found, common, percent).view(np.int64))
                     owners.append(np.full(len(keys[-1]), own, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], names=["key", "class_id"])
+                    size += 2 * keys[-1].nbytes
+                    if size > SEND_BYTES:
+                        size = 0
+                        yield sent()
+        if keys:
+            yield sent()
 
     return source.select("text").mapInArrow(run, "key long, class_id long")
 
@@ -254,9 +290,9 @@ def _documents(source: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
     def run(batches):
         done = set()
         for batch in batches:
-            n, owners, maps = [], [], []
-            for text in batch.column("text").to_pylist():
-                found = shingles(text, words)
+            n, owners, maps, size, start = [], [], [], 0, 0
+            for at, text in enumerate(batch.column("text"), 1):
+                found = shingles(text.as_py(), words)
                 own = class_of(found)
                 ask = len(found) and own not in done and _has(wanted, own % FILTER_BITS)
                 if ask:
@@ -264,10 +300,14 @@ def _documents(source: DataFrame, wanted: np.ndarray, words: int) -> DataFrame:
                 n.append(len(found))
                 owners.append(own)
                 maps.append(wide_map(found) if ask else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()),
-                 pa.array(owners, pa.int64()), pa.array(maps, pa.binary())],
-                names=["doc_id", "text_hash", "n", "class_id", "bits"])
+                size += len(maps[-1] or b"")
+                if at == batch.num_rows or size > SEND_BYTES:
+                    rows = batch.slice(start, at - start)
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column("doc_id"), rows.column("text_hash"), pa.array(n, pa.int64()),
+                         pa.array(owners, pa.int64()), pa.array(maps, pa.binary())],
+                        names=["doc_id", "text_hash", "n", "class_id", "bits"])
+                    n, owners, maps, size, start = [], [], [], 0, at
 
     return source.mapInArrow(run, _DOCS)
 
@@ -284,7 +324,7 @@ def _sets(source: DataFrame, documents: DataFrame, pairs: DataFrame, words: int)
     def run(batches):
         done = set()
         for batch in batches:
-            owners, sets = [], []
+            owners, sets, size = [], [], 0
             for key, text in zip(batch.column("text_hash").to_pylist(), batch.column("text")):
                 if key in done or not _has(wanted, key % FILTER_BITS):
                     continue
@@ -293,8 +333,11 @@ def _sets(source: DataFrame, documents: DataFrame, pairs: DataFrame, words: int)
                 if len(found):
                     owners.append(class_of(found))
                     sets.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(sets, pa.binary())],
-                                             names=["class_id", "found"])
+                    size += found.nbytes
+                if size > SEND_BYTES:
+                    yield _batch(list(zip(owners, sets)), ["class_id", "found"], [pa.int64(), pa.binary()])
+                    owners, sets, size = [], [], 0
+            yield _batch(list(zip(owners, sets)), ["class_id", "found"], [pa.int64(), pa.binary()])
 
     rows = source.select("text_hash", "text").mapInArrow(run, "class_id long, found binary")
     return rows.groupBy("class_id").agg(F.first("found").alias("found"))
@@ -366,22 +409,53 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("class_id", "label")
 
 
-def _led(groups: DataFrame, seed: int) -> DataFrame:
-    """A pair per class: of the leaders of its (key, size range) groups, chosen by seeded hash, the one
-    it shares most keys with."""
-    chosen = groups.groupBy("key", "range").agg(
-        F.min_by("class_id", F.xxhash64(F.lit(seed), "class_id")).alias("leader"))
-    shared = groups.join(chosen, ["key", "range"]).where("leader <> class_id").groupBy(
-        "class_id", "leader").agg(F.count(F.lit(1)).alias("keys"))
-    best = shared.groupBy("class_id").agg(F.max_by("leader", F.struct("keys", "leader")).alias("leader"))
+def _led(groups: DataFrame, seeds: list[int]) -> DataFrame:
+    """A pair per class and seed: of the leaders of its (key, size range) groups, chosen by seeded hash,
+    the one it shares most keys with."""
+    leaders = [F.struct(F.lit(seed).alias("seed"),
+                        F.min_by("class_id", F.xxhash64(F.lit(seed), "class_id")).alias("leader")) for seed in seeds]
+    chosen = groups.groupBy("key", "range").agg(F.array(*leaders).alias("led"))
+    shared = groups.join(chosen, ["key", "range"]).select("class_id", F.inline("led")).where(
+        "leader <> class_id").groupBy("class_id", "seed", "leader").agg(F.count(F.lit(1)).alias("keys"))
+    best = shared.groupBy("class_id", "seed").agg(F.max_by("leader", F.struct("keys", "leader")).alias("leader"))
     return best.select(F.least("leader", "class_id").alias("a"), F.greatest("leader", "class_id").alias("b")).distinct()
 
 
-def _rest(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that a signature tree per key can't rule out."""
-    def tree_pairs(rows):
-        ids, sizes, labels, maps = (np.concatenate(c) for c in zip(*rows))
-        tree = SignatureTree(ids, sizes, labels, maps)
+def _cells(rows: DataFrame, block: int) -> DataFrame:
+    """The rows with their cell and side; of a key with more than ``block`` rows, one for each cell.
+
+    Blocks of such a key are (size range, hash) and hold about ``block`` rows; cells are a block
+    with itself and pairs of blocks of one or of neighbouring size ranges, others can't link.
+    """
+    large = rows.where(F.col("total") > block)
+    counts = large.groupBy("key", "range").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    parts = counts.groupBy("key").agg(
+        F.map_from_entries(F.collect_list(F.struct("range", "parts"))).alias("parts"))
+    r, own = F.col("range"), F.pmod(F.xxhash64("class_id"), F.col("parts")[F.col("range")])
+
+    def cell(low, i, high, j, side):
+        return F.struct(F.xxhash64(low, i, high, j).alias("cell"), side.cast("int").alias("side"))
+
+    def others(shift, make):
+        last = F.coalesce(F.try_element_at("parts", r + shift), F.lit(0)) - 1
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0).cast("long"), last), make)).otherwise(F.array())
+
+    cells = F.concat(
+        others(0, lambda j: cell(r, F.least(own, j), r, F.greatest(own, j), j < own)),
+        others(1, lambda j: cell(r, own, r + 1, j, F.lit(0))),
+        others(-1, lambda j: cell(r - 1, j, r, own, F.lit(1))))
+    names = ["key", "class_id", "n", "label"]
+    dealt = large.join(parts, "key").select(*names, F.inline(cells))
+    small = rows.where(F.col("total") <= block).select(*names, F.lit(0).cast("long").alias("cell"),
+                                                       F.lit(0).alias("side"))
+    return small.unionByName(dealt)
+
+
+def _rest(groups: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that a signature tree per cell can't rule out."""
+    def tree_pairs(key, rows):
+        ids, sizes, labels, sides, firsts, maps = (np.concatenate(c) for c in zip(*rows))
+        tree = SignatureTree(ids, sizes, labels, maps, sides, firsts, key)
         for i, j in tree.pairs(percent):
             a, b = int(tree.ids[i]), int(tree.ids[j])
             yield (a, b) if a < b else (b, a)
@@ -390,33 +464,49 @@ def _rest(groups: DataFrame, percent: int) -> DataFrame:
         held, current = [], None
         out: set = set()
         for batch in batches:
-            key, own, size, label = (batch.column(c).to_numpy() for c in ("key", "class_id", "n", "label"))
+            if not batch.num_rows:
+                continue
+            key, cell, own, size, label, side = (
+                batch.column(c).to_numpy() for c in ("key", "cell", "class_id", "n", "label", "side"))
             maps = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(-1, BITS // 8)
-            cuts = np.flatnonzero(np.diff(key, prepend=key[:1] - 1)) if len(key) else []
+            firsts = batch.column("firsts").flatten().to_numpy().reshape(-1, FIRSTS)
+            new = (np.diff(key, prepend=key[:1] - 1) != 0) | (np.diff(cell, prepend=cell[:1]) != 0)
+            cuts = np.flatnonzero(new)
             for x, y in zip(cuts, [*cuts[1:], len(key)]):
-                if key[x] != current:
+                if (key[x], cell[x]) != current:
                     if held:
-                        out.update(tree_pairs(held))
-                    held, current = [], key[x]
-                held.append((own[x:y], size[x:y], label[x:y], maps[x:y]))
-            if len(out) > 100_000:
-                yield _batch(list(out), ["a", "b"], [pa.int64()] * 2)
-                out = set()
+                        out.update(tree_pairs(current[0], held))
+                    held, current = [], (key[x], cell[x])
+                held.append((own[x:y], size[x:y], label[x:y], side[x:y], firsts[x:y], maps[x:y]))
+                if len(out) > 100_000:
+                    yield _batch(list(out), ["a", "b"], [pa.int64()] * 2)
+                    out = set()
         if held:
-            out.update(tree_pairs(held))
+            out.update(tree_pairs(current[0], held))
         yield _batch(list(out), ["a", "b"], [pa.int64()] * 2)
 
-    rows = groups.select("key", "class_id", "n", "label", "bits")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+    @F.pandas_udf("binary")
+    def narrow(bits):
+        return bits.map(lambda raw: folded(np.frombuffer(raw, np.uint8), BITS).tobytes())
+
+    least = F.slice(F.array_sort(F.collect_set("key")), 1, FIRSTS)
+    firsts = groups.groupBy("class_id").agg(least.alias("firsts")).select("class_id", F.concat(
+        "firsts", F.array_repeat(F.lit(NO_KEY), FIRSTS - F.size("firsts"))).alias("firsts"))
+    known = firsts.join(maps.select("class_id", narrow("bits").alias("bits")), "class_id")
+    rows = _cells(groups, BLOCK).join(known, "class_id")
+    return (rows.repartition("key", "cell").sortWithinPartitions("key", "cell")
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def _unsettled(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Rows of keys that still hold more than one component, with their labels."""
+    """Rows of keys that still hold more than one component, with their labels and the key's total."""
     if labels is None:
-        return groups.withColumn("label", F.col("class_id"))
-    named = groups.join(labels, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
-    open_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    return named.join(open_keys.where("low < high").select("key"), "key", "left_semi")
+        named = groups.withColumn("label", F.col("class_id"))
+    else:
+        named = groups.join(labels, "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
+    open_keys = named.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("total"))
+    return named.join(open_keys.where("low < high").select("key", "total"), "key")
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -444,12 +534,14 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: st
     documents = written(_documents(source, _wanted(shared), words), "documents")
     maps = written(documents.where(F.col("bits").isNotNull()).groupBy("class_id").agg(
         F.first("n").alias("n"), F.first("bits").alias("bits")), "maps")
-    sizes = maps.select("class_id", "n", F.floor(F.log("n") / np.log(100 / percent)).alias("range"))
+    # A little more than the largest ratio of sizes that link: they stand in one or in neighbouring ranges.
+    step = 1.000001 * float(np.log(100 / min(percent, 99)))
+    sizes = maps.select("class_id", "n", F.floor(F.log("n") / step).alias("range"))
     groups = written(shared.join(sizes, "class_id"), "groups")
     edges, labels, tried = None, None, None
     for turn in range(ROUNDS):
-        groups_now = _unsettled(groups, labels)
-        led = reduce(DataFrame.union, [_led(groups_now, LEADERS * turn + i) for i in range(LEADERS)]).distinct()
+        groups_now = groups if labels is None else _unsettled(groups, labels)
+        led = _led(groups_now, [LEADERS * turn + i for i in range(LEADERS)])
         if tried is not None:
             led = _apart(led, labels).join(tried, ["a", "b"], "left_anti")
         pairs = written(_bounded(led, maps, percent), "pairs")
@@ -462,12 +554,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: st
             break
         labels = components(edges)
 
-    @F.pandas_udf("binary")
-    def narrow(bits):
-        return bits.map(lambda raw: folded(np.frombuffer(raw, np.uint8), BITS).tobytes())
-
-    rest = _unsettled(groups, labels).join(maps.select("class_id", narrow("bits").alias("bits")), "class_id")
-    rest = written(_rest(rest, percent), "candidates")
+    left = written(_unsettled(groups, labels), "unsettled")
+    rest = written(_rest(left, maps, percent), "candidates")
     rest = _bounded(rest, maps, percent)
     if tried is not None:
         rest = rest.join(tried, ["a", "b"], "left_anti")
