@@ -108,12 +108,43 @@ def test_join_finds_links_that_leaders_miss(spark, monkeypatch):
     words = [f"w{rng.randint(0, 10**6)}" for _ in range(900)]
     docs = [(i, " ".join(words[i * 8:i * 8 + 100])) for i in range(100)] + [(500 + i, " ".join(words[3:120 - i])) for i in range(30)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    for rounds in (0, 2):
+    # Without leaders, with leaf-sized cells, trees of many nodes, and large keys cut into blocks.
+    for rounds, leaf, block in ((0, 32, 8192), (2, 32, 8192), (0, 2, 8192), (0, 2, 5), (1, 32, 3)):
         monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
+        monkeypatch.setattr(ngram_join, "LEAF", leaf)
+        monkeypatch.setattr(ngram_join, "BLOCK", block)
         got = sorted(map(tuple, ngram_join.link(df).select("doc_id", "n_shingles", "component_id").collect()))
         assert got == brute.components(sorted(docs))
 
 
+@given(st.integers(0, 10_000))
+@settings(max_examples=30, deadline=None)
+def test_leaves_at_once_equal_trees(seed):
+    """Many small cells together give what a tree for each gives, each pair at its smallest shared key only."""
+    rng = np.random.default_rng(seed)
+    cells = [int(c) for c in rng.integers(1, ngram_join.LEAF + 1, 6)]
+    n, key = sum(cells), 1_000
+    base = rng.integers(0, 1 << 60, 40).astype(np.uint64)
+    sets = [np.unique(rng.choice(base, 30)) for _ in range(n)]
+    maps = np.stack([np.frombuffer(ngram_join.signature(s), np.uint8) for s in sets])
+    sizes, labels = np.array([len(s) for s in sets]), rng.integers(0, 5, n)
+    sides = np.repeat(rng.integers(0, 2, 6), cells) * rng.integers(0, 2, n)
+    firsts = np.sort(rng.integers(0, 4_000, (n, ngram_join.FIRSTS)), 1)
+    cell = np.repeat(np.arange(6), cells)
+    ids = np.arange(n)
+    got = set()
+    for a, b in ngram_join.leaf_pairs(cell, np.full(n, key), ids, sizes, labels, sides, firsts, maps):
+        got |= set(zip(a.tolist(), b.tolist()))
+    expected = set()
+    for c in range(6):
+        at = cell == c
+        tree = ngram_join.SignatureTree(ids[at], sizes[at], labels[at], maps[at], sides[at], firsts[at], key)
+        pairs = [sorted((int(tree.ids[i]), int(tree.ids[j]))) for i, j in tree.pairs()]
+        expected |= {tuple(p) for p in pairs}
+        assert not any(set(firsts[a][firsts[a] < key]) & set(firsts[b]) for a, b in pairs)
+    assert got == expected
+
+
 @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 60)), min_size=1, max_size=25, unique=True))
 @settings(max_examples=60, deadline=None)
 def test_best_chain(points):

@@ -190,6 +190,35 @@ class SignatureTree:
         yield from zip(i.tolist(), j.tolist())
 
 
+def leaf_pairs(cell, key, ids, sizes, labels, sides, firsts, maps, percent: int = PERCENT):
+    """Arrays (a, b) of what single leaves give: the same pairs as a tree per cell, many cells at once.
+
+    Rows of a cell lie together and ``cell`` numbers them; no cell has more than LEAF rows.
+    """
+    maps = np.ascontiguousarray(maps).view(np.uint64)
+    slack = sizes - np.bitwise_count(maps).sum(1)
+    starts = np.flatnonzero(np.diff(cell, prepend=cell[:1] - 1))
+    across = np.zeros(cell[-1] + 1, bool)
+    across[cell[starts]] = np.minimum.reduceat(sides, starts) != np.maximum.reduceat(sides, starts)
+    for step in range(1, LEAF):
+        i = np.flatnonzero(cell[:-step] == cell[step:])
+        if not len(i):
+            break
+        j = i + step
+        n, m = sizes[i], sizes[j]
+        fits = links(np.minimum(n, m), n + m, percent) & (labels[i] != labels[j])
+        fits &= ~across[cell[i]] | (sides[i] != sides[j])
+        i, j = i[fits], j[fits]
+        shared = np.bitwise_count(maps[i] & maps[j]).sum(1, dtype=np.int64)
+        # Every bit of one that the other lacks is a shingle that the other lacks.
+        fits = links(shared + np.minimum(slack[i], slack[j]), sizes[i] + sizes[j], percent)
+        i, j = i[fits], j[fits]
+        p, q = firsts[i], firsts[j]
+        seen = ((p[:, :, None] == q[:, None, :]) & (p < key[i][:, None])[:, :, None]).any((1, 2))
+        i, j = ids[i[~seen]], ids[j[~seen]]
+        yield np.minimum(i, j), np.maximum(i, j)
+
+
 def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
@@ -472,7 +501,16 @@ def _rest(groups: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
             firsts = batch.column("firsts").flatten().to_numpy().reshape(-1, FIRSTS)
             new = (np.diff(key, prepend=key[:1] - 1) != 0) | (np.diff(cell, prepend=cell[:1]) != 0)
             cuts = np.flatnonzero(new)
-            for x, y in zip(cuts, [*cuts[1:], len(key)]):
+            ends = np.append(cuts[1:], len(key))
+            # Small cells that surely begin and end in this batch; others are held until they end.
+            whole = (ends - cuts <= LEAF) & (ends < len(key)) & (cuts > 0)
+            small = np.repeat(whole, ends - cuts)
+            if small.any():
+                number = np.repeat(np.arange(len(cuts)), ends - cuts)
+                rows = (c[small] for c in (number, key, own, size, label, side, firsts, maps))
+                for a, b in leaf_pairs(*rows, percent):
+                    out.update(zip(a.tolist(), b.tolist()))
+            for x, y in zip(cuts[~whole].tolist(), ends[~whole].tolist()):
                 if (key[x], cell[x]) != current:
                     if held:
                         out.update(tree_pairs(current[0], held))
