@@ -5,9 +5,12 @@ import sys
 import unicodedata
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tonegauge.llm.common import batches_by_bytes
 from tonegauge.llm.tokens import Encoder
 
 
@@ -42,3 +45,17 @@ def test_ids_equal_those_of_the_library(name):
         got = mine.ids([t.encode() for t in some], end=None)
         bad = [t for t, w, g in zip(some, want, got) if w.ids != g.tolist()]
         assert not bad, [ascii(t) for t in bad[:5]]
+
+
+def test_long_rows_reach_workers_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches)
+
+    rows = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+    with pytest.raises(ZeroDivisionError), batches_by_bytes(spark, 1 << 20):
+        assert max(r["n"] for r in rows.mapInArrow(sizes, "n long").collect()) < 1_100_000
+        raise ZeroDivisionError
+    assert spark.conf.get(name) == before

@@ -3,6 +3,7 @@
 import math
 import string
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from tonegauge.session import checkpoint_folder
 #: ASCII white space; words are the runs of everything else.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_REGEX = r"[\x20\x09-\x0D]+"
+#: Bytes of rows that go to a Python worker together.
+BATCH_BYTES = 8 << 20
 LOWER_BYTES = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 
 
@@ -32,6 +35,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_by_bytes(spark: SparkSession, most: int = BATCH_BYTES):
+    """Jobs run inside send Python workers about ``most`` bytes at a time, however long the rows are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. A text of one byte per character may use the quicker lower()."""
     mapped = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

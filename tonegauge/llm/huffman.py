@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonegauge.llm.common import text_blocks, written
+from tonegauge.llm.common import batches_by_bytes, text_blocks, written
 from tonegauge.llm.tokens import default_tokenizer, encoder
 
 MAGIC, HEAD = b"HCB1", struct.Struct("<4s4Iq")
@@ -174,8 +174,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
     ids. A null or empty text is its end id alone. Other columns are ignored. An empty
     table makes files without blocks.
     """
-    tokenizer = tokenizer or default_tokenizer()
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    with batches_by_bytes(docs.sparkSession):
+        _write(source, path, tokenizer or default_tokenizer(), end, limit)
+
+
+def _write(source: DataFrame, path: str, tokenizer: str, end: int, limit: int) -> None:
     parts = text_blocks(source, "text", FILE_TEXT)
     # Bounds only deal the documents out evenly; the order is exact whatever they are.
     bounds = source.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.5 / parts) if parts > 1 else []
@@ -241,7 +245,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end:
 
     blocks = (tokens.repartitionByRange(parts, "part").sortWithinPartitions("part", "doc_id", "ids")
               .mapInArrow(encode, "block binary"))
-    spark = docs.sparkSession
+    spark = source.sparkSession
     (blocks.select(F.col("block").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", FILE_BLOCKS).text(f"{path}/blocks"))
     (spark.createDataFrame([(bytearray(lengths.tobytes()),)], "value binary")

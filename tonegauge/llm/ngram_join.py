@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonegauge.llm.common import byte_words, written
+from tonegauge.llm.common import batches_by_bytes, byte_words, written
 
 WORDS, PERCENT = 5, 75
 BITS = 1024
@@ -567,6 +567,11 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: st
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"),
                          F.col(text).alias("text"))
+    with batches_by_bytes(docs.sparkSession):
+        return _linked(source, words, percent)
+
+
+def _linked(source: DataFrame, words: int, percent: int) -> DataFrame:
     common = _common(source, words)
     shared = written(_shared(_announced(source, common, words, percent)), "shared")
     documents = written(_documents(source, _wanted(shared), words), "documents")
