@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tonegauge import constants as K
 from tonegauge.functions.labels import lookup
-from tonegauge.learning import clustering, evaluation, tasks
+from tonegauge.learning import clustering, evaluation, hierarchy, tasks
 from tonegauge.learning import features as fx
 from tonegauge.learning import models as mx
 from tonegauge.operators import describe, metrics, posts, sampling, terms
@@ -533,6 +533,30 @@ def m28b(spark, sf):
     return far_report(clustering.bisecting(df, 4).transform(df))
 
 
+@query("m28_ward_clusters")
+def m28_ward(spark, sf):
+    return hierarchy.ward(vectors(spark, sf), 6).select("vec_id", "cluster")
+
+
+@query("m28c_ward_far_groups", FAR_SQL)
+def m28c(spark, sf):
+    return far_report(hierarchy.ward(far_groups(spark, sf), 4))
+
+
+# Days lie 10 ** day apart, so the tree adds one day after the other to the first.
+@query("m28d_ward_tree_of_days", """
+WITH posts AS (SELECT isodow(CAST(ts AS TIMESTAMP)) AS day FROM events),
+days AS (SELECT day, CAST(count(*) AS DOUBLE) AS n, 10.0e0 ** day AS x FROM posts GROUP BY day),
+sums AS (SELECT day, n, x, sum(n) OVER w AS m, sum(n * x) OVER w / sum(n) OVER w AS c, row_number() OVER (ORDER BY day) AS r
+  FROM days WINDOW w AS (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT CAST(r - 2 AS INTEGER) AS step, CAST(n + m AS BIGINT) AS n_rows,
+  round(sqrt(2 * n * m / (n + m)) * abs(x - c), 3) AS height FROM sums WHERE r > 1""")
+def m28d(spark, sf):
+    day = F.weekday(F.col("ts").cast("timestamp")) + 1
+    df = views.table(spark, sf, "events").select(F.array(F.pow(F.lit(10.0), day)).alias("features"))
+    return hierarchy.ward_tree(df).select("step", "n_rows", F.round("height", 3).alias("height"))
+
+
 NEIGHBOURS = """
 near AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b
