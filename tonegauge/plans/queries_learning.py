@@ -611,6 +611,19 @@ def m30b(spark, sf):
                    F.round(F.sum(F.col("variance") ** 2), 5).alias("squares"))
 
 
+# Two columns: the eigenvalues of their covariances have a closed form.
+@query("m30d_w7_running_variance", f"""
+WITH far AS (SELECT {FAR["x"]} AS x, {FAR["y"]} AS y FROM events),
+c AS (SELECT var_samp(x) AS a, var_samp(y) AS b, covar_samp(x, y) AS ab FROM far),
+e AS (SELECT (a + b) / 2 + sqrt(((a - b) / 2) ** 2 + ab ** 2) AS high, a + b AS total FROM c)
+SELECT 1 AS component, round(high / total, 6) AS variance, round(high / total, 6) AS cumulative FROM e
+UNION ALL SELECT 2, round(1 - high / total, 6), 1.0e0 FROM e""")
+def m30d(spark, sf):
+    shares = clustering.pca_variance(far_groups(spark, sf), "features", 2)
+    return shares.select("component", F.round("variance", 6).alias("variance"),
+                         F.round("cumulative", 6).alias("cumulative"))
+
+
 @query("m30c_pca_projection", with_views(POSTS, CONTEXT) + "SELECT post_id, round(" + " + ".join(
     f"pow(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 2)" for c in K.COHERENCE_FEATURES)
     + ", 4) AS square FROM context")
