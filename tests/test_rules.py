@@ -321,3 +321,11 @@ def test_final_table_has_all_columns(spark):
 def test_box_stats_of_one_value(spark):
     df = spark.createDataFrame([("a", 2.0), ("a", 2.0)], "g string, v double")
     assert tuple(describe.box_stats(df, "g", "v").first()) == ("a", 2.0, 2.0, 2.0, 2.0, 2.0, 0)
+
+
+def test_three_digits_round_as_printf_does(spark):
+    values = [50.2945, 0.0005, -0.0005, 0.0015, 0.0025, 1.0005, 50.0625, -49.5475, 12.3, -0.0001, 0.0]
+    df = spark.createDataFrame([(v,) for v in values], "score_medio double").withColumn("g", F.lit("x"))
+    assert column(describe.relative_index(df, "g"), "lectura") == ["x (%.3f)" % v for v in values]
+    unknown = spark.createDataFrame([("x", None)], "g string, score_medio double")
+    assert column(describe.relative_index(unknown, "g"), "lectura") == [None]

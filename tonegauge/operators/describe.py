@@ -83,13 +83,23 @@ def ranking_reading(ranking: DataFrame, group: str, suspect: str) -> DataFrame:
     )
 
 
+def three_digits(value: Column) -> Column:
+    """A number with three decimals, rounded from its exact binary value as C's printf does.
+
+    ``format_string`` rounds the shortest decimal form half up instead: 50.2945 is a little
+    less than it reads.  ``format_number`` misses one tie, 0.0005, which lies above it.
+    """
+    exact = F.when(F.abs(value) == 0.0005, value * 1.5).otherwise(value)
+    return F.call_function("format_number", exact, F.lit("0.000"))
+
+
 def relative_index(ranking: DataFrame, group: str) -> DataFrame:
     """Distance to the least toxic group and a readable label."""
     floor = ranking.agg(F.min("score_medio").alias("_floor"))
     return ranking.crossJoin(F.broadcast(floor)).select(  # one row
         group, "score_medio",
         F.round(F.col("score_medio") - F.col("_floor"), 4).alias("toxicidad_relativa"),
-        F.format_string("%s (%.3f)", F.col(group), F.col("score_medio")).alias("lectura"),
+        F.concat(F.col(group), F.lit(" ("), three_digits(F.col("score_medio")), F.lit(")")).alias("lectura"),
     )
 
 
