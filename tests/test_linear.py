@@ -72,6 +72,21 @@ def test_groups_and_penalties_reach_their_optimum_together(rows, data, loss, cos
     packed.unpersist()
 
 
+def test_products_of_a_block_need_no_sort(rows, data, monkeypatch):
+    """A pass multiplies rows as they are packed; sorting entries by column took most of its time."""
+    packed = linear.blocks(rows, weight="w", group=F.col("part")).collect()
+    dense = linear.Block(0, np.arange(0, 13, 3), np.tile(np.arange(3, dtype=np.int32), 4), np.arange(12.0),
+                         np.zeros(4), np.ones(4), 3)
+    monkeypatch.setattr(np, "argsort", None)
+    for block in (*packed, dense):
+        x = np.zeros((len(block.target), block.width))
+        x[block.rows, block.columns] = block.values
+        w, r = np.random.default_rng(2).normal(size=(2, max(x.shape), 3))
+        assert np.allclose(block.dot(w[:block.width]), x @ w[:block.width])
+        assert np.allclose(block.back(r[:len(x)]), x.T @ r[:len(x)])
+    assert dense.full and not any(b.full for b in packed)
+
+
 def test_models_of_spark_score_the_fits(rows, data):
     x, y, s, _ = data
     for estimator, loss in ((mx.ScaledLogistic(weight="w", tol=1e-8), linear.LOGISTIC),
