@@ -33,6 +33,27 @@ def matrix(df, column="features"):
     return np.array([r[0] for r in df.orderBy("post_id").select(vector_to_array(column)).collect()])
 
 
+def test_workers_add_up_terms_of_many_texts(monkeypatch):
+    """Each distinct term of a slice leaves a worker once, with occurrences and documents, and no slice is large."""
+    import pyarrow as pa
+    from collections import Counter
+    from tonegauge.operators import terms
+    monkeypatch.setattr(terms, "COUNT_TOKENS", 5)
+    words = [["aa", "bb", "aa", "bb"], [], ["aa"], ["bb", "aa"], ["cc"] * 7, [], ["aa", "cc"]]
+    groups = [0, 1, 1, 0, 2, 2, 1]
+    batch = pa.RecordBatch.from_pydict({"_group": pa.array(groups, pa.int32()), "_words": pa.array(words, pa.list_(pa.string()))})
+    total, held, sent = Counter(), Counter(), 0
+    for part in terms._counted(True)(iter([batch.slice(0, 3), batch.slice(3)])):
+        sent += part.num_rows
+        for r in part.to_pylist():
+            total[r["_group"], r["term"]] += r["total"]
+            held[r["_group"], r["term"]] += r["df"]
+    every = [(g, w + [f"{a} {b}" for a, b in zip(w, w[1:])]) for g, w in zip(groups, words)]
+    assert total == Counter((g, t) for g, w in every for t in w)
+    assert held == Counter((g, t) for g, w in every for t in set(w))
+    assert sent < sum(len(w) for _, w in every)
+
+
 def test_tfidf_by_hand(spark):
     df = spark.createDataFrame([(0, "aa bb aa"), (1, "bb cc")], "post_id int, text_content string")
     model = Pipeline(stages=fx.text_stages(grams=1)).fit(df)
