@@ -180,6 +180,28 @@ def test_density_candidates_are_few(spark):
     assert pairs < 0.1 * 400 * 399 / 2
 
 
+@pytest.mark.parametrize("block", [7, 2048])
+def test_blocks_of_points_find_every_near_pair_once(spark, monkeypatch, block):
+    """Blocks of one strip meet each other and the next strip's; distances are exact at the limit."""
+    monkeypatch.setattr(clustering, "BLOCK_POINTS", block)
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(size=(120, 3)), [[0.1 * i, 40.0, 0.0] for i in range(30)]])
+    df = spark.createDataFrame([(f"p{i}", v.tolist()) for i, v in enumerate(x)], "id string, x array<double>")
+    points = df.select("id", "x", F.lit(2).alias("w"), (F.xxhash64("id") % 50).cast("string").alias("cell"))
+    points = clustering._measured(points, 4, 0.3).checkpoint()
+    cell = dict(points.select("id", "cell").collect())
+    got = sorted(tuple(sorted((r["a"], r["b"]))) for r in clustering.near_candidates(points, 0.3).collect())
+
+    def near(i, j):
+        square = 0.0
+        for p, q in zip(x[i].tolist(), x[j].tolist()):
+            square += (p - q) * (p - q)
+        return square <= 0.3 * 0.3
+
+    assert got == sorted(tuple(sorted((f"p{i}", f"p{j}"))) for i in range(150) for j in range(i)
+                         if cell[f"p{i}"] != cell[f"p{j}"] and near(i, j))
+
+
 def test_silhouette_of_noise_and_single_cluster(spark):
     df = spark.createDataFrame(
         [(1, 0, [0.0, 0.0]), (2, 0, [0.0, 1.0]), (3, 1, [5.0, 0.0]), (4, -1, [9.0, 9.0])],

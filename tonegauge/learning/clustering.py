@@ -1,7 +1,10 @@
 """Topic and context clusters: k-means, bisecting k-means, density clusters, PCA, silhouette."""
 
+from collections.abc import Iterator
 from math import sqrt
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
@@ -144,31 +147,84 @@ def _measured(points: DataFrame, pivots: int, eps: float) -> DataFrame:
     return measured.withColumn("d", best).withColumn("strip", F.floor(F.col("d")[0] / eps))
 
 
+#: Points of a strip that are compared with others at once; bounds what a worker holds.
+BLOCK_POINTS = 2048
+
+
+def _blocks(points: DataFrame) -> DataFrame:
+    """Every strip dealt into blocks of about ``BLOCK_POINTS`` points, a row each."""
+    strips = points.groupBy("strip").agg(F.ceil(F.count(F.lit(1)) / BLOCK_POINTS).alias("n"))
+    dealt = points.join(strips, "strip").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")))
+    return dealt.groupBy("strip", "block").agg(
+        F.collect_list(F.struct("id", "x", "cell", F.col("w").cast("bigint").alias("w"))).alias("points"))
+
+
+def _meetings(blocks: DataFrame) -> DataFrame:
+    """Pairs of blocks that can hold near points: of one strip, and of neighbouring strips."""
+    names = blocks.select("strip", "block")
+    left = names.select(F.col("strip").alias("astrip"), F.col("block").alias("ablock"),
+                        F.explode(F.array("strip", F.col("strip") + 1)).alias("strip"))
+    return left.join(names, "strip").where((F.col("strip") > F.col("astrip")) | (F.col("block") >= F.col("ablock")))
+
+
+def _matched(eps: float):
+    def near(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        # Products are rounded; what they leave is measured again as a sum of squared differences.
+        most = eps * eps * (1 + 1e-9) + 1e-12 * (aa.max() + bb.max())
+        for low in range(0, len(a), 256):
+            square = aa[low:low + 256, None] + bb - 2 * (a[low:low + 256] @ b.T)
+            i, j = np.nonzero(square <= most)
+            i += low
+            exact = np.zeros(len(i))
+            for x, y in zip(a.T, b.T):
+                exact += (x[i] - y[j]) * (x[i] - y[j])
+            close = exact <= eps * eps
+            yield i[close], j[close]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                l, r = (batch.column(c).slice(at, 1).flatten() for c in ("l", "r"))
+                a, b = (v.field("x").flatten().to_numpy().reshape(len(v), -1) for v in (l, r))
+                # Pairs inside a strip and block meet once, by position.
+                itself = batch.column("itself")[at].as_py()
+                cells = [v.field("cell").to_numpy(zero_copy_only=False) for v in (l, r)]
+                for i, j in near(a, b):
+                    apart = cells[0][i] != cells[1][j]
+                    if itself:
+                        apart &= i < j
+                    i, j = pa.array(i[apart]), pa.array(j[apart])
+                    yield pa.RecordBatch.from_pydict({
+                        side + name: v.field(field).take(k) for side, v, k in (("a", l, i), ("b", r, j))
+                        for name, field in (("", "id"), ("cell", "cell"), ("w", "w"))})
+
+    return run
+
+
 def near_candidates(points: DataFrame, eps: float) -> DataFrame:
-    """Ordered pairs of points in different cells whose distances to all pivots differ by eps at most."""
-    left = points.select(
-        F.col("id").alias("a"), F.col("x").alias("ax"), F.col("cell").alias("acell"), F.col("d").alias("ad"),
-        F.col("w").alias("aw"), F.explode(F.array("strip", F.col("strip") + 1)).alias("strip"), F.col("strip").alias("home"))
-    right = points.select(
-        F.col("id").alias("b"), F.col("x").alias("bx"), F.col("cell").alias("bcell"), F.col("d").alias("bd"),
-        F.col("w").alias("bw"), "strip")
-    slack = eps * (1 + 1e-9)  # distances are rounded
-    alike = F.forall(F.zip_with("ad", "bd", lambda p, q: F.abs(p - q) <= slack), lambda ok: ok)
-    # Pairs inside a strip meet once, by id; pairs of neighbouring strips once anyway.
-    once = (F.col("home") < left["strip"]) | (F.col("a") < F.col("b"))
-    return left.join(right, (left["strip"] == right["strip"]) & (F.col("acell") != F.col("bcell")) & once & alike)
+    """Pairs of points in different cells within eps of each other, each pair once.
+
+    Points meet by blocks: a strip's with each other and with the next strip's, two blocks
+    in a row, whose distances are one matrix product.
+    """
+    blocks = _blocks(points).checkpoint()
+    one = blocks.select(F.col("strip").alias("astrip"), F.col("block").alias("ablock"), F.col("points").alias("l"))
+    other = blocks.withColumnRenamed("points", "r")
+    both = _meetings(blocks).join(one, ["astrip", "ablock"]).join(other, ["strip", "block"]).select(
+        "l", "r", ((F.col("strip") == F.col("astrip")) & (F.col("block") == F.col("ablock"))).alias("itself"))
+    kind = points.schema["id"].dataType.simpleString()
+    return both.mapInArrow(
+        _matched(eps), f"a {kind}, acell string, aw bigint, b {kind}, bcell string, bw bigint")
 
 
 def _near(points: DataFrame, eps: float) -> DataFrame:
     """Both directions of every pair of points in different cells within eps of each other."""
-    square = F.aggregate(
-        F.zip_with("ax", "bx", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
-    pairs = near_candidates(points, eps).where(square <= eps * eps)
     both = F.array(
         F.struct("a", "acell", "b", "bcell", F.col("bw").alias("w")),
         F.struct(F.col("b").alias("a"), F.col("bcell").alias("acell"), F.col("a").alias("b"),
                  F.col("acell").alias("bcell"), F.col("aw").alias("w")))
-    return pairs.select(F.inline(both))
+    return near_candidates(points, eps).select(F.inline(both))
 
 
 def _is_star_forest(links: DataFrame) -> bool:
@@ -222,8 +278,7 @@ def dbscan(
     * Other neighbours are found from distances to ``pivots`` points: two points within eps
       of each other differ by at most eps in their distance to any pivot.  The pivot whose
       distances spread most deals the points into strips of width eps, joined with
-      themselves and the next strip; the other pivots must agree before the distance
-      itself is computed.  Matches are written once.
+      themselves and the next strip, block by block.  Matches are written once.
     """
     ensure_checkpoints(df.sparkSession)
     rows = df.select(F.col(key).alias("id"), as_array(df, features).alias("x"))
