@@ -171,6 +171,47 @@ def test_density_clusters_equal_brute_force(spark, seed, dims, eps, need):
     assert [r["cluster"] for r in got] == brute_dbscan(np.array(points), eps, need)
 
 
+@pytest.mark.parametrize("seed,dims,need", [(1, 1, 4), (2, 2, 3), (3, 2, 8), (4, 3, 3)])
+def test_density_clusters_with_full_cells_equal_brute_force(spark, seed, dims, need):
+    rng = np.random.default_rng(seed)
+    points = np.vstack([rng.uniform(0, 1, (350, dims)), rng.uniform(1.3, 2, (50, dims)), rng.uniform(0, 4, (30, dims))])
+    df = spark.createDataFrame(list(enumerate(points.tolist())), "id int, x array<double>")
+    got = clustering.dbscan(df, "id", "x", 0.2, need).orderBy("id").collect()
+    assert [r["cluster"] for r in got] == brute_dbscan(points, 0.2, need)
+
+
+def test_full_cells_link_by_points_that_are_not_outermost(spark):
+    """A cell's point in a notch, nearest to the next cell, lies inside the box of the outermost ones."""
+    left = [[0.01, 0.01], [0.01, 0.69], [0.66, 0.35], [0.69, 0.01], [0.69, 0.69]]
+    right = [[1.4 + 0.65, 0.01], [1.4 + 0.65, 0.69], [1.4 + 0.26, 0.35], [1.4 + 0.255, 0.02], [1.4 + 0.255, 0.68]]
+    points = np.array(left + right)
+    df = spark.createDataFrame(list(enumerate(points.tolist())), "id int, x array<double>")
+    got = clustering.dbscan(df, "id", "x", 1.0, 5).orderBy("id").collect()
+    assert [r["cluster"] for r in got] == brute_dbscan(points, 1.0, 5)
+    # The outermost points alone must not decide: pairs that they leave open are compared in full.
+    points = df.select(F.col("id"), "x", F.when(F.col("id") < 5, "l").otherwise("r").alias("cell"))
+    box = lambda name, i: F.struct(
+        F.lit(name).alias("cell"), F.array(*[F.lit(float(v)) for v in i.min(axis=0)]).alias("lo"),
+        F.array(*[F.lit(float(v)) for v in i.max(axis=0)]).alias("hi"))
+    pair = spark.range(1).select(box("l", np.array(left)).alias("u"), box("r", np.array(right)).alias("v"))
+    gap = min(np.linalg.norm(np.subtract(p, q)) for p in left for q in right)
+    assert clustering._touching(pair, points, gap + 1e-9, 2).count() == 1
+    assert clustering._touching(pair, points, gap - 1e-9, 2).count() == 0
+
+
+def test_pairs_of_points_do_not_grow_with_the_square(spark):
+    """Full cells form no pairs: four times the points in a square give at most four times the pairs, not sixteen."""
+    def pairs(n):
+        x = np.random.default_rng(5).uniform(0, 1, (n, 2))
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, x array<double>")
+        points = df.withColumn("at", F.array(*clustering._cells(F.col("x"), 0.2 / 2 ** 0.5, 2))).withColumn(
+            "cell", F.md5(F.concat_ws(",", "at"))).withColumn("w", F.lit(1))
+        in_cell = points.groupBy("cell").agg(F.sum("w").alias("cell_w"))
+        return clustering.thin_pairs(points, in_cell, 5, 0.2, 2).count()
+
+    assert pairs(1600) <= 4 * pairs(400)
+
+
 def test_density_candidates_are_few(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 64)) * np.linspace(4, 0.1, 64)

@@ -1,7 +1,8 @@
 """Topic and context clusters: k-means, bisecting k-means, density clusters, PCA, silhouette."""
 
 from collections.abc import Iterator
-from math import sqrt
+from itertools import product
+from math import isqrt, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -227,6 +228,71 @@ def _near(points: DataFrame, eps: float) -> DataFrame:
     return near_candidates(points, eps).select(F.inline(both))
 
 
+#: Dimensions up to which cells look up the cells around them, whose number is a power of it.
+GRID_DIMS = 3
+
+
+def _square(a: Column, b: Column, dims: int) -> Column:
+    """Squared distance of two vectors of few dimensions."""
+    return sum(((a[i] - b[i]) * (a[i] - b[i]) for i in range(dims)), F.lit(0.0))
+
+
+def _gap(a: Column, b: Column, dims: int) -> Column:
+    """Squared distance of two boxes (lo, hi); no points in them are closer."""
+    apart = [F.greatest(b["lo"][i] - a["hi"][i], a["lo"][i] - b["hi"][i], F.lit(0.0)) for i in range(dims)]
+    return sum((v * v for v in apart), F.lit(0.0))
+
+
+def _around(dims: int, half: bool = False) -> Column:
+    """Places of the cells that can hold a point within eps of one in the cell ``at``, itself left out."""
+    reach = range(-isqrt(dims) - 1, isqrt(dims) + 2)
+    steps = [s for s in product(reach, repeat=dims) if sum(max(abs(v) - 1, 0) ** 2 for v in s) <= dims]
+    kept = [s for s in steps if s > (0,) * dims or not half and any(s)]
+    return F.array(*[F.array(*[F.col("at")[i] + F.lit(v) for i, v in enumerate(s)]) for s in kept])
+
+
+def thin_pairs(points: DataFrame, in_cell: DataFrame, min_samples: int, eps: float, dims: int) -> DataFrame:
+    """Points near those of cells that ``min_samples`` does not fill, from the cells around.
+
+    A thin cell has fewer than ``min_samples`` points, so a point meets a bounded number of
+    them however many points there are.
+    """
+    thin = points.join(in_cell.where(F.col("cell_w") < min_samples), "cell").select(
+        F.col("id").alias("a"), F.col("cell").alias("acell"), F.col("x").alias("ax"), F.explode(_around(dims)).alias("at"))
+    other = points.select(F.col("id").alias("b"), F.col("cell").alias("bcell"), F.col("x").alias("bx"), "at", "w")
+    return thin.join(other, "at").where(_square(F.col("ax"), F.col("bx"), dims) <= eps * eps).select(
+        "a", "acell", "b", "bcell", "w")
+
+
+def _full_meetings(points: DataFrame, in_cell: DataFrame, min_samples: int, eps: float, dims: int) -> DataFrame:
+    """Pairs of full cells whose boxes are within eps, and whether their outermost points prove them linked."""
+    known = [F.when(~F.isnan(F.col("x")[i]), F.col("x")[i]) for i in range(dims)]
+    ways = [w for w in product((-1.0, 0.0, 1.0), repeat=dims) if any(w)]
+    cells = points.join(in_cell.where(F.col("cell_w") >= min_samples), "cell").groupBy("cell", "at").agg(
+        F.array(*map(F.min, known)).alias("lo"), F.array(*map(F.max, known)).alias("hi"),
+        F.array(*[F.max_by("x", sum((F.col("x")[i] * v for i, v in enumerate(w) if v), F.lit(0.0)))
+                  for w in ways]).alias("ends")).checkpoint()
+    one = cells.select(F.struct("cell", "lo", "hi").alias("u"), F.col("ends").alias("p"),
+                       F.explode(_around(dims, half=True)).alias("at"))
+    both = one.join(cells.select(F.struct("cell", "lo", "hi").alias("v"), F.col("ends").alias("q"), "at"), "at")
+    linked = F.exists("p", lambda p: F.exists("q", lambda q: _square(p, q, dims) <= eps * eps))
+    return both.where(_gap(F.col("u"), F.col("v"), dims) <= eps * eps).select(
+        "u", "v", F.coalesce(linked, F.lit(False)).alias("linked"))
+
+
+def _touching(open_pairs: DataFrame, points: DataFrame, eps: float, dims: int) -> DataFrame:
+    """The pairs of cells (u, v) that hold points within eps, from the points of each near the other's box."""
+    def facing(own: str, other: str, name: str) -> DataFrame:
+        spot = F.struct(F.col("x").alias("lo"), F.col("x").alias("hi"))
+        return (
+            open_pairs.withColumn("cell", F.col(own)["cell"]).join(points.select("cell", "x"), "cell")
+            .where(_gap(spot, F.col(other), dims) <= eps * eps)
+            .select(F.col("u")["cell"].alias("ucell"), F.col("v")["cell"].alias("vcell"), F.col("x").alias(name)))
+
+    return facing("u", "v", "p").join(facing("v", "u", "q"), ["ucell", "vcell"]).where(
+        _square(F.col("p"), F.col("q"), dims) <= eps * eps).select("ucell", "vcell").distinct()
+
+
 def _is_star_forest(links: DataFrame) -> bool:
     """Does every node hang on one root, and no root on another node?"""
     ends = links.select(F.inline(F.array(
@@ -264,6 +330,11 @@ def _minimum_labels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "node", F.coalesce("root", "node").alias("root"))
 
 
+def _cell_links(cells: DataFrame, names: DataFrame) -> DataFrame:
+    """Links of the nodes that stand for the cells ``ucell`` and ``vcell``."""
+    return cells.join(names.toDF("ucell", "u"), "ucell").join(names.toDF("vcell", "v"), "vcell").select("u", "v")
+
+
 def dbscan(
     df: DataFrame, key: str, features: str, eps: float, min_samples: int, pivots: int = 16,
 ) -> DataFrame:
@@ -279,6 +350,10 @@ def dbscan(
       of each other differ by at most eps in their distance to any pivot.  The pivot whose
       distances spread most deals the points into strips of width eps, joined with
       themselves and the next strip, block by block.  Matches are written once.
+    * In up to ``GRID_DIMS`` dimensions a cell looks up the cells around it instead.  A cell
+      with ``min_samples`` points is core throughout and only needs its links: its outermost points
+      prove most of them, and what is left between clusters is settled by points that face
+      each other.  Pairs of points are formed only where a cell is not full.
     """
     ensure_checkpoints(df.sparkSession)
     rows = df.select(F.col(key).alias("id"), as_array(df, features).alias("x"))
@@ -288,11 +363,15 @@ def dbscan(
     dims = size[0]
     points = (
         rows.groupBy("x").agg(F.count(F.lit(1)).alias("w"), F.min("id").alias("id"))
-        .withColumn("cell", F.md5(F.concat_ws(",", *_cells(F.col("x"), eps / sqrt(dims), dims))))
+        .withColumn("at", F.array(*_cells(F.col("x"), eps / sqrt(dims), dims)))
+        .withColumn("cell", F.md5(F.concat_ws(",", "at")))
     ).checkpoint()
-    points = _measured(points, pivots, eps).checkpoint()
-    near = _near(points, eps).checkpoint()
     in_cell = points.groupBy("cell").agg(F.sum("w").alias("cell_w"))
+    grid = dims <= GRID_DIMS
+    if grid:
+        near = thin_pairs(points, in_cell, min_samples, eps, dims).checkpoint()
+    else:
+        near = _near(_measured(points.drop("at"), pivots, eps).checkpoint(), eps).checkpoint()
     outside = near.groupBy("a").agg(F.sum("w").alias("more"))
     core = (
         points.join(in_cell, "cell").join(outside, points["id"] == outside["a"], "left")
@@ -305,9 +384,23 @@ def dbscan(
     links = (
         near.join(first.select(F.col("id").alias("a"), F.col("node").alias("u")), "a")
         .join(first.select(F.col("id").alias("b"), F.col("node").alias("v")), "b")
-        .select("u", "v").where("u > v").distinct()
+        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct()
     )
-    roots = _minimum_labels(names.select("node"), links)
+    if grid:
+        met = _full_meetings(points, in_cell, min_samples, eps, dims).checkpoint()
+        links = links.union(_cell_links(met.where("linked").select("u.cell", "v.cell").toDF("ucell", "vcell"), names))
+        links = links.checkpoint()
+        roots = _minimum_labels(names.select("node"), links).checkpoint()
+        rooted_cells = names.join(roots, "node").select("cell", "root")
+        open_pairs = (
+            met.where("NOT linked").join(rooted_cells.toDF("ucell", "uroot"), F.col("u.cell") == F.col("ucell"))
+            .join(rooted_cells.toDF("vcell", "vroot"), F.col("v.cell") == F.col("vcell"))
+            .where("uroot != vroot").select("u", "v")).checkpoint()
+        more = _cell_links(_touching(open_pairs, points, eps, dims), names).checkpoint()
+        if not more.isEmpty():
+            roots = _minimum_labels(names.select("node"), links.union(more))
+    else:
+        roots = _minimum_labels(names.select("node"), links)
     rooted = first.join(roots, "node").select("id", "root")
     # A border point may touch core points of other cells and of its own.
     edge = core.where("NOT core")
