@@ -55,6 +55,27 @@ def test_workers_add_up_terms_of_many_texts(monkeypatch):
     assert sent < sum(len(w) for _, w in every)
 
 
+def test_pairs_that_cannot_be_in_the_vocabulary_stay_behind(spark):
+    """A limited vocabulary equals brute force, and rare pairs are never named."""
+    import re
+    from collections import Counter
+    rng = random.Random(3)
+    words = [f"w{i}é" if i % 7 == 0 else f"w{i}" for i in range(60)]
+    rows = [" ".join(rng.choice(words[:rng.choice((5, 20, 60))]) for _ in range(rng.randrange(0, 30))) for _ in range(200)]
+    rows += [None, "", "aa", "aa aa aa"]
+    df = spark.createDataFrame([(t,) for t in rows], "t string").repartition(3)
+    total, held = Counter(), Counter()
+    for t in rows:
+        w = re.findall(r"\w{2,}", t or "")
+        total.update(own := w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+        held.update(set(own))
+    for most, least in ((1, 1), (40, 2), (60, 1), (70, 1), (5000, 4), (61, 50), (5000, 5000)):
+        want = sorted(((t, n, held[t]) for t, n in total.items() if held[t] >= least), key=lambda r: (-r[1], r[0].encode()))
+        assert [tuple(r) for r in terms.corpus_vocabulary(df, "t", 2, most, least).collect()] == want[:most]
+    named = terms._frequent_terms(terms._words(df, [], "t", None), 10, 1)
+    assert named.count() < len(total) / 4
+
+
 def test_tfidf_by_hand(spark):
     df = spark.createDataFrame([(0, "aa bb aa"), (1, "bb cc")], "post_id int, text_content string")
     model = Pipeline(stages=fx.text_stages(grams=1)).fit(df)

@@ -293,6 +293,35 @@ def test_split_is_exact_and_independent_of_partitions(spark):
     assert {r["n"] for r in folds.where("c = 'rare'").collect()} <= {33, 34}
 
 
+def test_split_of_wide_rows_moves_no_texts(spark):
+    """The rows of the exact split, with keys and classes shuffled alone; equal keys at a cut are told apart."""
+    from tonegauge.learning import tasks
+
+    df = spark.range(1000).withColumn("label", (F.col("id") % 7).cast("double")).withColumn("t", F.lit("text"))
+    few = df.union(df.limit(1).selectExpr("id + 2000 AS id", "9D AS label", "t"))
+    for share in (0.2, 0.5, 1.0):
+        got = sampling.split_rows(few, "id", "label", share).where("is_test").select("id", "label")
+        want = sampling.stratified_split(few, "id", "label", share).where("is_test").select("id", "label")
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    train, _ = tasks.split(df, "id")
+    assert "Exchange" not in train._jdf.queryExecution().executedPlan().toString()
+    same = spark.range(10).select(F.lit(1).alias("id"), F.lit("a").alias("label"))
+    assert sampling.split_rows(same, "id", "label").where("is_test").count() == 2
+
+
+def test_tone_needs_no_labels(spark, tmp_path):
+    """Labels that repeat a document neither repeat its text nor move it."""
+    from tonegauge.plans import queries_learning
+
+    spark.createDataFrame([(1, "a text", "en", "s"), (2, None, "xx", "s")],
+                          "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (1, 2, 1)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet")
+    df = queries_learning.tone_posts(spark, str(tmp_path))
+    assert sorted(r["post_id"] for r in df.collect()) == [1, 2]
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_majority_tie_is_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",)], "c string")
     assert sampling.majority_class(df, "c").first()["prediction"] == "a"
