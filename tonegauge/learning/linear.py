@@ -73,6 +73,15 @@ class Block(NamedTuple):
         return out
 
 
+def columns_of(block: Block, group: int, low: int, high: int) -> Block:
+    """The columns from ``low`` to before ``high`` as a block of their own."""
+    keep = (block.columns >= low) & (block.columns < high)
+    sizes = np.bincount(block.rows[keep], minlength=len(block.target))
+    return block._replace(
+        group=group, starts=np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
+        columns=(block.columns[keep] - low).astype(np.int32), values=block.values[keep], width=high - low)
+
+
 class Loss(NamedTuple):
     """``of(scores, target, corner)`` gives each row's loss and its derivative by the scores."""
 
