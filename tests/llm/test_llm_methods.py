@@ -3,6 +3,7 @@
 import heapq
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -267,6 +268,53 @@ def test_extension_follows_edits_past_the_margin(spark):
         (r["other_start"], r["other_end"]) for r in found if r["other_doc_id"] == 0] == [(1, 401)]
 
 
+def test_stretches_of_one_word_meet_at_few_places(spark):
+    sizes = [60 + 20 * i for i in range(12)]
+    rows = [(i, " ".join([f"a{i}"] * 20 + ["then"] * n + [f"b{i}"] * 20)) for i, n in enumerate(sizes)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered = {i: set() for i in range(12)}
+    for r in found:
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+        covered[r["other_doc_id"]] |= set(range(r["other_start"], r["other_end"]))
+    assert all(covered[i] >= set(range(20, 20 + n)) for i, n in enumerate(sizes))
+    per_pair = Counter(frozenset((r["doc_id"], r["other_doc_id"])) for r in found)
+    assert max(per_pair.values()) <= 2 + max(sizes) // passages.STRETCH
+
+
+def test_a_sub_chain_goes_on_past_a_stray_match():
+    rng = np.random.default_rng(5)
+    a, b = (rng.integers(0, 1 << 30, 300).astype(np.uint32) for _ in "ab")
+    b[60:110] = a[40:90]
+    x, y = np.array([50, 51, 70]), np.array([70, 71, 160])  # the third is off the way of the others
+    assert (40, 90, 60, 110, 50) in passages.alike(a, b, x, y)[0]
+
+
+def test_quick_chains_equal_chains():
+    rng, seen = random.Random(6), 0
+    for turn in range(600):
+        n, most = rng.randrange(1, 25), rng.choice([30, 60, 400])
+        points = sorted(zip(*(sorted(rng.sample(range(most), n)) for _ in "xy")))
+        if turn % 3 == 0:
+            points = sorted({(rng.randrange(most), rng.randrange(most)) for _ in range(n)})
+        x, y = (np.array(c) for c in zip(*points))
+        ends, hard = passages.quick_chains(np.zeros(len(x), int), x, y)
+        if not hard.any():
+            seen += 1
+            got = np.split(np.arange(len(x)), np.flatnonzero(ends)[:-1] + 1)
+            assert sorted(map(list, got)) == sorted(passages.chains(x, y, 80, 1))
+    assert seen > 200
+
+
+def test_no_extension_ends_beyond_its_bound():
+    rng, n = random.Random(7), passages.REACH
+    for _ in range(400):
+        a = [rng.randrange(6) for _ in range(60)]
+        b = [w if rng.random() < 0.8 else rng.randrange(6) for w in a if rng.random() < 0.97]
+        far_a, far_b, alive = passages.reach_bound(np.array([a[:n]]), np.array([b[:n]]))
+        i, j, *_ = passages._reach(a, b)
+        assert alive[0] or far_a[0] >= i and far_b[0] >= j
+
+
 def test_a_passage_is_reported_once(spark):
     line = [f"w{i}" for i in range(12)]
     rows = [(i, " ".join([f"f{i}{j}" for j in range(20)] + line * (30 + i))) for i in (0, 1)]
