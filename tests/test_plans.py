@@ -60,3 +60,13 @@ def test_scan_reads_only_needed_columns(spark):
 def test_class_counts_do_not_meet_in_one_task(events):
     df = events.select(F.col("user_id").cast("string").alias("label"), F.col("event_type").alias("prediction"))
     assert "Coalesce 1" not in plan(metrics.class_scores(df, "label", "prediction"))
+
+
+def test_spelling_tables_are_not_broadcast(spark):
+    """Their size follows the distinct words, 28 times for the signatures, whatever Spark takes it for."""
+    spelling = pytest.importorskip("tonegauge.llm.spelling")
+    words = spark.createDataFrame([("harbour", 700), ("harbuur", 130), ("hirbuur", 26)], "word string, n long")
+    pairs = spelling.near_pairs(words)
+    found = spelling.forms(words, pairs)
+    for df in (pairs, found, spelling.roots(found)):
+        assert "Broadcast" not in plan(df)

@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """For a join: the rows are never broadcast. A table that grows with the input may look small to
+    Spark, which goes by the bytes of compressed files and doesn't count what an explode adds."""
+    return df.hint("merge")
+
+
 @contextmanager
 def batches_by_bytes(spark: SparkSession, most: int = BATCH_BYTES):
     """Jobs run inside send Python workers about ``most`` bytes at a time, however long the rows are."""

@@ -17,7 +17,7 @@ from math import ceil, log, log2
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonegauge.llm.common import ascii_lower, written
+from tonegauge.llm.common import ascii_lower, by_shuffle, written
 
 #: Basic Latin letters and U+00C0 to U+00FF.
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
@@ -68,7 +68,8 @@ def signed(words: DataFrame, parts: int = PARTS) -> DataFrame:
 
 def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     """(word, n, other, other_n), each pair once: exactly one inserted, deleted or replaced code point."""
-    rows = signed(words, parts)
+    # 28 rows a word, of which Spark's estimate knows nothing.
+    rows = by_shuffle(signed(words, parts))
     x, y = rows.alias("x"), rows.alias("y")
     meets = ((F.col("x.word") < F.col("y.word"))
              & (F.abs(F.length("x.word") - F.length("y.word")) < MOVED)
@@ -76,7 +77,7 @@ def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
     # A pair may share several signatures.
     pairs = x.join(y, F.col("x.signature") == F.col("y.signature")).where(meets).select(
         F.col("x.word").alias("word"), F.col("y.word").alias("other")).distinct()
-    count = words.select("word", "n")
+    count = by_shuffle(words.select("word", "n"))
     return pairs.join(count, "word").join(count.toDF("other", "other_n"), "other")
 
 
@@ -89,7 +90,7 @@ def forms(words: DataFrame, pairs: DataFrame, ratio: int = RATIO) -> DataFrame:
         F.count(F.lit(1)).alias("n_near"),
         F.min(F.struct((-F.col("other_n")).alias("less"), F.col("other").alias("form"))).alias("best"))
     led = -F.col("best.less") >= ratio * F.col("n")
-    return words.join(best, "word", "left").select(
+    return words.join(by_shuffle(best), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(led, F.col("best.form")).alias("form"), F.when(led, -F.col("best.less")).alias("form_n"))
 
@@ -102,9 +103,9 @@ def roots(found: DataFrame, least: int = LEAST, ratio: int = RATIO) -> DataFrame
     root = written(found.where("form IS NOT NULL").select("word", F.col("form").alias("root")), "roots")
     for _ in range(ceil(log2(steps)) if steps > 1 else 0):
         further = root.select(F.col("word").alias("at"), F.col("root").alias("further"))
-        root = written(root.join(further, root.root == further.at, "left").select(
+        root = written(root.join(by_shuffle(further), root.root == further.at, "left").select(
             "word", F.coalesce("further", "root").alias("root")), "roots")
-    return found.join(root, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return found.join(by_shuffle(root), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def group_spellings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
